@@ -60,6 +60,8 @@ class Lake(Mapping):
         self.spark, self.root, self.bronze, self.specs, self.fmt = spark, root, bronze, specs, fmt
         self.written: dict[str, Written] = {}
         self._locks = {name: threading.RLock() for name in self}
+        self._once: dict[str, object] = {}
+        self._once_lock = threading.Lock()
 
     def __iter__(self):
         return iter([*self.specs, *star.STAR, *marts.MARTS])
@@ -105,6 +107,13 @@ class Lake(Mapping):
         with ThreadPoolExecutor(max_workers=at_once) as pool:
             return list(pool.map(self.build, names))
 
+    def once(self, label: str, work: Callable[[str], object]):
+        """``work`` on a folder of its own under the lake's; later calls get the first call's result."""
+        with self._once_lock:
+            if label not in self._once:
+                self._once[label] = work(f"{self.root}/{label}")
+            return self._once[label]
+
     def write_quarantine(self, name: str) -> Written:
         """Rejected rows with their reasons, and the table's full counts.
 

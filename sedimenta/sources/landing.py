@@ -20,7 +20,14 @@ def write_landing(df: DataFrame, root: str, table: str, day: str, schema: str =
     A rerun for the same day replaces the folder. Readers see it only once the write is committed.
     """
     path = landing_path(root, table, day, schema)
-    as_bronze(df).write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
+    as_bronze(df).write.mode("overwrite").csv(
+        path,
+        header=True,
+        escape='"',
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    )
     return path
 
 

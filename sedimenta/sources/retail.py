@@ -26,17 +26,17 @@ class RetailSource:
             raise ValueError(f"unknown source table: {name}")
         return getattr(self, f"_{name}")()
 
-    def _read(self, name: str) -> DataFrame:
+    def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def _events(self, kind: str) -> DataFrame:
-        return self._read("events").where(F.col("event_type") == kind)
+        return self.read("events").where(F.col("event_type") == kind)
 
     def _plataformas(self) -> DataFrame:
-        return self._read("region").select(_next_id("r_regionkey", "id_plataforma"), F.col("r_name").alias("nome"))
+        return self.read("region").select(_next_id("r_regionkey", "id_plataforma"), F.col("r_name").alias("nome"))
 
     def _jogos(self) -> DataFrame:
-        return self._read("part").select(
+        return self.read("part").select(
             _next_id("p_partkey", "id_jogo"),
             F.col("p_name").alias("nome"),
             F.col("p_brand").alias("desenvolvedor"),
@@ -45,7 +45,7 @@ class RetailSource:
         )
 
     def _streamers(self) -> DataFrame:
-        supplier = self._read("supplier").join(self._read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        supplier = self.read("supplier").join(self.read("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
         return supplier.select(
             _next_id("s_suppkey", "id_streamer"),
             F.col("s_name").alias("nome"),
@@ -55,7 +55,7 @@ class RetailSource:
         )
 
     def _viewers(self) -> DataFrame:
-        customer = self._read("customer").join(self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        customer = self.read("customer").join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         return customer.select(
             _next_id("c_custkey", "id_viewer"),
             F.col("c_name").alias("nome"),
@@ -76,12 +76,12 @@ class RetailSource:
         # The items' aggregate is keyed by the shifted id, not by l_orderkey itself: both join inputs
         # are then plain shuffles, which adaptive execution can split if one order id is hot.
         items = (
-            self._read("lineitem")
+            self.read("lineitem")
             .groupBy("l_orderkey")
             .agg(F.min("l_suppkey").alias("_sk"), F.min("l_partkey").alias("_pk"), F.max("l_shipdate").alias("_fim"))
             .select(_next_id("l_orderkey", "_id"), "_sk", "_pk", "_fim")
         )
-        orders = self._read("orders").withColumn("_id", F.col("o_orderkey") + 1)
+        orders = self.read("orders").withColumn("_id", F.col("o_orderkey") + 1)
         return orders.join(items, "_id", "left")
 
     def _transmissoes(self) -> DataFrame:
@@ -95,8 +95,8 @@ class RetailSource:
         )
 
     def _items_with_orders(self) -> DataFrame:
-        orders = self._read("orders").select("o_orderkey", "o_custkey")
-        return self._read("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        orders = self.read("orders").select("o_orderkey", "o_custkey")
+        return self.read("lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def _visualizacoes(self) -> DataFrame:
         return self._items_with_orders().select(

@@ -51,9 +51,8 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
         df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(name).alias("tabela"), "linhas")
         for name, df in tables.items()
     ]
-    counts = reduce(DataFrame.unionByName, parts)
-    total = counts.agg(F.sum("linhas").alias("linhas")).select(F.lit("TOTAL").alias("tabela"), "linhas")
-    return counts.unionByName(total)
+    counts = reduce(DataFrame.unionByName, parts).rollup("tabela").agg(F.sum("linhas").alias("linhas"))
+    return counts.withColumn("tabela", F.coalesce("tabela", F.lit("TOTAL")))
 
 
 def table_detail(spark: SparkSession, path: str) -> DataFrame:
