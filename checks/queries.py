@@ -59,7 +59,8 @@ def evaluated(spark, folder, table):
 
 
 def silver(spark, folder, table):
-    return quality.deduplicate(quality.valid_rows(evaluated(spark, folder, table)), WIDE_SPECS[table])
+    clean, _ = quality.refine(bronze_text(spark, folder, table), WIDE_SPECS[table])
+    return clean
 
 
 def reasons(spark, folder, table):

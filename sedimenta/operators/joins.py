@@ -7,18 +7,23 @@ from pyspark.sql import functions as F
 
 # A side this small goes to every task: at most 500,000 rows of a key and a few numbers.
 BROADCAST_ROWS = 500_000
-# Keys kept apart as hot. Any other key holds a small share of the rows, about 1/1000 at most.
-HOT_KEYS = 1_024
+# Hot keys are looked for in 64 groups of keys, 16 in each: at most 1,024 in all.
+KEY_GROUPS = 64
+HOT_PER_GROUP = 16
+TRACKED_PER_GROUP = 256
 
 
-def hot_keys(df: DataFrame, key: str, limit: int = HOT_KEYS) -> DataFrame:
-    """The most frequent values of ``key``, at most ``limit`` rows, from a sketch of fixed size.
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """The most frequent values of ``key``, at most 1,024 rows, from sketches of fixed size.
 
-    It may name a key that is not hot; that changes where rows are joined, never what comes out.
+    Each task sends one small sketch per group of keys and each group is merged apart, so no task
+    sees more than its groups' sketches. A key with 1/10,000 of all rows stands out in its group. A
+    key named in error changes where rows are joined, never what comes out.
     """
-    top = F.expr(f"approx_top_k(_key, {limit}, {limit * 16})")
     present = df.select(F.col(key).alias("_key")).where(F.col("_key").isNotNull())
-    return present.agg(top.alias("_top")).select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias("_hot"))
+    groups = present.groupBy(F.pmod(F.xxhash64("_key"), F.lit(KEY_GROUPS)).alias("_group"))
+    top = groups.agg(F.expr(f"approx_top_k(_key, {HOT_PER_GROUP}, {TRACKED_PER_GROUP})").alias("_top"))
+    return top.select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias("_hot"))
 
 
 def lookup_join(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,26 +42,32 @@ def standardize(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> D
 
 
 def rules(spec: TableSpec) -> list[tuple[str, Column]]:
-    """(reason, broken) pairs in report order: key, required, allowed values, date order."""
+    """(reason, broken) pairs in report order: key, required, allowed values, date order.
+
+    ``broken`` is never NULL: allowed-value and date-order rules pass where a side is missing.
+    """
     checks = [(f"pk_nula:{spec.key}", F.col(spec.key).isNull())]
     for name in spec.required:
         checks.append((f"nulo_obrigatorio:{name}", F.col(name).isNull()))
     for name, values in spec.allowed.items():
-        checks.append((f"dominio_invalido:{name}", ~F.col(name).isin(*values)))
+        checks.append((f"dominio_invalido:{name}", F.col(name).isNotNull() & ~F.col(name).isin(*values)))
     for later, earlier in spec.ordered:
-        checks.append((f"temporal_invalido:{later}<{earlier}", F.col(later) < F.col(earlier)))
+        both = F.col(later).isNotNull() & F.col(earlier).isNotNull()
+        checks.append((f"temporal_invalido:{later}<{earlier}", both & (F.col(later) < F.col(earlier))))
     return checks
 
 
 def evaluate_quality(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Adds the reasons a row is rejected for, joined by '; ', NULL for a clean row.
-
-    A NULL comparison is not a violation: allowed-value and date-order rules pass where a side is missing.
-    """
+    """Adds the reasons a row is rejected for, joined by '; ', NULL for a clean row."""
     reasons = [F.when(broken, F.lit(reason)) for reason, broken in rules(spec)]
     return df.withColumn(REASON, F.nullif(F.concat_ws("; ", *reasons), F.lit("")))
 
 
+def clean_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows no rule rejects, as plain predicates that reach the scan; no reason text is made."""
+    return df.where(reduce(and_, [~broken for _, broken in rules(spec)]))
+
+
 def valid_rows(evaluated: DataFrame) -> DataFrame:
     return evaluated.where(F.col(REASON).isNull()).drop(REASON)
 
@@ -88,8 +95,8 @@ def deduplicate(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 def refine(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Bronze or typed source rows to (silver, quarantine)."""
-    valid, quarantine = split_valid_quarantine(evaluate_quality(standardize(df, spec, keep), spec))
-    return deduplicate(valid, spec), quarantine
+    typed = standardize(df, spec, keep)
+    return deduplicate(clean_rows(typed, spec), spec), quarantined_rows(evaluate_quality(typed, spec))
 
 
 def table_report(evaluated: DataFrame, spec: TableSpec) -> DataFrame:

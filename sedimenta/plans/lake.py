@@ -16,11 +16,11 @@ from sedimenta.operators.audit import EXTRACTION_DATE, stamp
 from sedimenta.operators.dimensional import has_unknown_key
 from sedimenta.operators.quality import (
     REASON,
+    clean_rows,
     deduplicate,
     evaluate_quality,
     quarantined_rows,
     standardize,
-    valid_rows,
 )
 from sedimenta.plans import marts, star
 from sedimenta.plans.specs import SPECS, TableSpec
@@ -121,19 +121,18 @@ class Lake(Mapping):
         """
         silver = self.build(name)
         seen = Observation()
-        counted = self._evaluated(name).observe(
+        counted = evaluate_quality(self._typed(name), self.specs[name]).observe(
             seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col(REASON).isNotNull()).alias("rejected")
         )
         write_table(stamp(quarantined_rows(counted), "silver"), quarantine_path(self.root, name), self.fmt)
         read, rejected = seen.get["read"], seen.get["rejected"]
         return Written("silver", name, silver.rows, read, rejected, read - rejected - silver.rows)
 
-    def _evaluated(self, name: str) -> DataFrame:
-        spec = self.specs[name]
-        return evaluate_quality(standardize(self.bronze(name), spec, keep=(EXTRACTION_DATE,)), spec)
+    def _typed(self, name: str) -> DataFrame:
+        return standardize(self.bronze(name), self.specs[name], keep=(EXTRACTION_DATE,))
 
     def _write_silver(self, name: str) -> Written:
-        clean = deduplicate(valid_rows(self._evaluated(name)), self.specs[name])
+        clean = deduplicate(clean_rows(self._typed(name), self.specs[name]), self.specs[name])
         rows = self._write(stamp(clean, "silver"), "silver", name, F.count(F.lit(1)).alias("rows"))["rows"]
         return Written("silver", name, rows)
 
