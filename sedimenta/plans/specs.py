@@ -7,6 +7,25 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import types as T
 
 
+KINDS = {
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "string": T.StringType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def data_type(kind: str) -> T.DataType:
+    """A type by its SQL name; specs can be read before there is a session."""
+    if kind.startswith("decimal("):
+        precision, scale = kind.removeprefix("decimal(").removesuffix(")").split(",")
+        return T.DecimalType(int(precision), int(scale))
+    return KINDS[kind]
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """A source table: its columns in order, its key and the rules its rows have to meet.
@@ -23,7 +42,11 @@ class TableSpec:
 
     @property
     def columns(self) -> dict[str, T.DataType]:
-        return {f.name: f.dataType for f in T.StructType.fromDDL(self.schema).fields}
+        return {name: data_type(kind) for name, kind in self.column_kinds.items()}
+
+    @property
+    def column_kinds(self) -> dict[str, str]:
+        return dict(column.split(" ") for column in self.schema.split(", "))
 
 
 # The source tables' columns, types, keys and rules.
@@ -126,13 +149,12 @@ def wide(spec: TableSpec) -> TableSpec:
     the form to use for large loads: ids stay whole and no value depends on the session time zone.
     """
     parts = []
-    for name, dtype in spec.columns.items():
-        sql_type = dtype.simpleString()
-        if name.startswith("id_") and sql_type == "int":
-            sql_type = "bigint"
-        elif sql_type == "timestamp":
-            sql_type = "timestamp_ntz"
-        parts.append(f"{name} {sql_type}")
+    for name, kind in spec.column_kinds.items():
+        if name.startswith("id_") and kind == "int":
+            kind = "bigint"
+        elif kind == "timestamp":
+            kind = "timestamp_ntz"
+        parts.append(f"{name} {kind}")
     return replace(spec, schema=", ".join(parts))
 
 
