@@ -216,8 +216,21 @@ STAR = {
         LEFT JOIN dim_streamer s ON s.id_streamer = f.id_streamer""",
 }
 
-# Means are rounded as decimals: half away from zero on the shown digits, in both engines.
-MEAN = "ROUND(CAST(AVG({0}) AS DECIMAL(38,12)), {1})"
+
+def rounded(top: str, bottom: str, digits: int) -> str:
+    """top / bottom rounded half away from zero, in whole numbers so that no tie is lost."""
+    top = f"CAST({top} AS HUGEINT) * {10**digits}"
+    whole = f"SIGN({top}) * ((2 * ABS({top}) + ({bottom})) // (2 * ({bottom})))"
+    return f"CAST({whole} AS DOUBLE) / {10**digits}"
+
+
+def cents(amount: str) -> str:
+    return f"ROUND(({amount}) * 100)"
+
+
+MEAN_PEAK = rounded("SUM(pico_viewers)", "COUNT(pico_viewers)", 1)
+MEAN_LENGTH = rounded(cents("SUM(duracao_minutos)"), "COUNT(duracao_minutos) * 100", 1)
+HOURS = rounded(cents("SUM(duracao_minutos)"), "6000", 1)
 MARTS = {
     "agg_streamer_visao_geral": f"""
         SELECT d.sk_streamer, d.nome_streamer, d.pais, d.nome_plataforma,
@@ -229,9 +242,8 @@ MARTS = {
                COALESCE(qtd_doacoes, 0) AS qtd_doacoes, COALESCE(assinaturas_ativas, 0) AS assinaturas_ativas,
                COALESCE(mrr, 0) AS mrr
         FROM dim_streamer d
-        LEFT JOIN (SELECT sk_streamer, COUNT(*) AS qtd_transmissoes, {MEAN.format('pico_viewers', 1)} AS
-                   pico_viewers_medio, ROUND(CAST(SUM(duracao_minutos) / 60.0 AS DECIMAL(38,12)), 1) AS
-                   horas_transmitidas FROM fato_transmissoes GROUP BY sk_streamer) USING (sk_streamer)
+        LEFT JOIN (SELECT sk_streamer, COUNT(*) AS qtd_transmissoes, {MEAN_PEAK} AS pico_viewers_medio,
+                   {HOURS} AS horas_transmitidas FROM fato_transmissoes GROUP BY sk_streamer) USING (sk_streamer)
         LEFT JOIN (SELECT sk_streamer, SUM(minutos_assistidos) AS minutos_assistidos,
                    COUNT(DISTINCT sk_viewer) AS viewers_unicos FROM fato_visualizacoes GROUP BY sk_streamer)
                    USING (sk_streamer)
@@ -259,8 +271,8 @@ MARTS = {
                CAST(COALESCE(minutos_assistidos, 0) AS BIGINT) AS minutos_assistidos
         FROM dim_jogo d
         LEFT JOIN (SELECT sk_jogo, COUNT(*) AS qtd_transmissoes, COUNT(DISTINCT sk_streamer) AS streamers_distintos,
-                   {MEAN.format('pico_viewers', 1)} AS pico_viewers_medio,
-                   {MEAN.format('duracao_minutos', 1)} AS duracao_media_min
+                   {MEAN_PEAK} AS pico_viewers_medio,
+                   {MEAN_LENGTH} AS duracao_media_min
                    FROM fato_transmissoes GROUP BY sk_jogo) USING (sk_jogo)
         LEFT JOIN (SELECT sk_jogo, SUM(minutos_assistidos) AS minutos_assistidos
                    FROM fato_visualizacoes GROUP BY sk_jogo) USING (sk_jogo)
@@ -297,10 +309,10 @@ CALENDAR = """CAST(STRFTIME(d, '%Y%m%d') AS INT) AS sk_tempo, d AS data, CAST(YE
     CAST(DAY(d) AS INT) AS dia, CAST(DAYOFWEEK(d)+1 AS INT) AS dia_semana, DAYNAME(d) AS nome_dia_semana,
     DAYOFWEEK(d) IN (0, 6) AS fim_de_semana"""
 
-MOM = """
+MOM = f"""
     SELECT ano, mes, CAST(receita_total AS DOUBLE) AS receita_total, CAST(antes AS DOUBLE) AS receita_mes_anterior,
-           CAST(CASE WHEN antes IS NULL OR antes = 0 THEN NULL ELSE
-                ROUND(CAST((receita_total - antes) * 100 / antes AS DECIMAL(38,9)), 2) END AS DOUBLE) AS variacao_pct
+           CASE WHEN antes IS NULL OR antes = 0 THEN NULL ELSE
+                {rounded("(receita_total - antes) * 10000", "CAST(antes * 100 AS HUGEINT)", 2)} END AS variacao_pct
     FROM (SELECT ano, mes, receita_total, LAG(receita_total) OVER (ORDER BY ano, mes) AS antes
           FROM agg_receita_mensal)"""
 
@@ -401,8 +413,8 @@ FINAL = {
         SELECT ano, mes, nome_mes, CAST(SUM(valor) AS DOUBLE) AS receita_doacoes
         FROM fato_doacoes JOIN dim_tempo USING (sk_tempo) GROUP BY ano, mes, nome_mes""",
     "q3_top_games": f"""
-        SELECT nome_jogo, COUNT(*) AS qtd_transmissoes, CAST({MEAN.format('pico_viewers', 1)} AS DOUBLE) AS pico_medio,
-               CAST({MEAN.format('duracao_minutos', 1)} AS DOUBLE) AS duracao_media_min
+        SELECT nome_jogo, COUNT(*) AS qtd_transmissoes, {MEAN_PEAK} AS pico_medio,
+               {MEAN_LENGTH} AS duracao_media_min
         FROM fato_transmissoes JOIN dim_jogo USING (sk_jogo) GROUP BY nome_jogo
         ORDER BY COUNT(*) DESC, nome_jogo LIMIT 15""",
     "q4_watch_by_country": """
@@ -441,8 +453,8 @@ FINAL = {
     "kpi1_total_revenue": "SELECT CAST(SUM(receita_total) AS DOUBLE) AS receita_total_global FROM agg_receita_mensal",
     "kpi1_mom_change": f"{MOM} ORDER BY ano DESC, mes DESC LIMIT 1",
     "kpi1_mom_series": MOM,
-    "kpi2_avg_donation": """
-        SELECT CAST(ROUND(CAST(SUM(receita_doacoes) / NULLIF(SUM(qtd_doacoes), 0) AS DECIMAL(38,9)), 2) AS DOUBLE)
+    "kpi2_avg_donation": f"""
+        SELECT {rounded("SUM(receita_doacoes) * 100", "NULLIF(SUM(qtd_doacoes), 0) * 100", 2)}
                AS valor_medio_por_doacao FROM agg_receita_mensal WHERE qtd_doacoes > 0""",
     "kpi3_total_broadcasts": """
         SELECT CAST(SUM(qtd_transmissoes) AS BIGINT) AS total_transmissoes FROM agg_streamer_visao_geral""",

@@ -12,8 +12,11 @@ def ratio(top: Column, bottom: Column) -> Column:
 
 
 def percent_change(now: Column, before: Column, digits: int = 2) -> Column:
-    """Change from ``before`` to ``now`` in percent, NULL without a previous value or with a zero one."""
-    return F.round(ratio(now - before, before) * 100, digits)
+    """Change from ``before`` to ``now`` in percent, NULL without a previous value or with a zero one.
+
+    The division comes last: decimals keep only some digits of a quotient.
+    """
+    return F.round(ratio((now - before) * 100, before), digits)
 
 
 def minutes_between(start: Column, end: Column, digits: int = 2) -> Column:

@@ -18,6 +18,9 @@ from sedimenta.plans.marts import by_month, by_platform, platform_of_streamer, s
 
 Tables = Mapping[str, DataFrame]
 
+# Wide enough for any total, and narrow enough that a quotient keeps a dozen decimal places.
+MONEY = "decimal(20,2)"
+
 
 def _months(t: Tables) -> DataFrame:
     # One row per calendar day, whatever the facts hold: a few million rows at the very most.
@@ -138,7 +141,8 @@ def total_revenue(t: Tables) -> DataFrame:
 
 def revenue_change(t: Tables) -> DataFrame:
     """Every month with the one before it. The window runs over one row per month."""
-    months = t["agg_receita_mensal"].select("ano", "mes", "receita_total")
+    total = F.col("receita_total").cast(MONEY).alias("receita_total")
+    months = t["agg_receita_mensal"].select("ano", "mes", total)
     order = Window.orderBy(F.asc_nulls_last("ano"), F.asc_nulls_last("mes"))
     before = F.lag("receita_total").over(order)
     return months.withColumn("receita_mes_anterior", before).withColumn(
@@ -152,7 +156,7 @@ def latest_revenue_change(t: Tables) -> DataFrame:
 
 def average_donation(t: Tables) -> DataFrame:
     months = t["agg_receita_mensal"].where("qtd_doacoes > 0")
-    mean = ratio(F.sum("receita_doacoes"), F.sum("qtd_doacoes"))
+    mean = ratio(F.sum("receita_doacoes").cast(MONEY), F.sum("qtd_doacoes"))
     return months.agg(F.round(mean, 2).alias("valor_medio_por_doacao"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import zlib
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -94,19 +94,22 @@ class Lake(Mapping):
                 if name in self.specs:
                     self.written[name] = self._write_silver(name)
                 elif name in star.STAR:
-                    inputs = {needed: self[needed] for needed in star.INPUTS[name]}
-                    df = star.STAR[name](inputs, self.rows)
+                    df = star.STAR[name](self._inputs(star.INPUTS[name]), self.rows)
                     self.written[name] = self._write_gold(name, df, audit_keys=name in star.FACTS)
                 else:
-                    inputs = {needed: self[needed] for needed in marts.INPUTS[name]}
-                    self.written[name] = self._write_gold(name, marts.MARTS[name](inputs))
+                    df = marts.MARTS[name](self._inputs(marts.INPUTS[name]))
+                    self.written[name] = self._write_gold(name, df)
             return self.written[name]
 
-    def build_all(self, names: list[str], at_once: int = 4) -> list[Written]:
-        """Builds tables side by side; those that others are built on should come in an earlier call."""
+    def build_all(self, names: Sequence[str], at_once: int = 4) -> list[Written]:
+        """Builds independent tables side by side."""
         with ThreadPoolExecutor(max_workers=at_once) as pool:
             return list(pool.map(self.build, names))
 
+    def _inputs(self, names: Sequence[str]) -> dict[str, DataFrame]:
+        self.build_all(names)
+        return {name: self[name] for name in names}
+
     def once(self, label: str, work: Callable[[str], object]):
         """``work`` on a folder of its own under the lake's; later calls get the first call's result."""
         with self._once_lock:
