@@ -229,3 +229,15 @@ def test_jdbc_export_keeps_the_table_definition():
     jdbc.export_jdbc(session, "jdbc:x", "gold_analytics.agg", driver="org.postgresql.Driver")
     (sent,) = session.write.seen
     assert (sent["truncate"], sent["mode"], sent["dbtable"]) == ("true", "overwrite", "gold_analytics.agg")
+
+
+def test_empty_tables_go_through(spark, folder):
+    lake = Lake(spark, folder, lambda name: synthetic.synthesize(spark, name, 0))
+    done = lake.write_quarantine("doacoes")
+    assert (done.read, done.rows, done.rejected, done.duplicates) == (0, 0, 0, 0)
+    assert lake.build("dim_viewer").rows == 1
+    assert (lake.build("fato_doacoes").rows, lake.build("fato_doacoes").unknown_keys) == (0, 0)
+    with pytest.raises(Exception, match="no valid dates"):
+        lake.build("dim_tempo")
+    with pytest.raises(KeyError):
+        lake["nada"]
