@@ -22,6 +22,7 @@ from sedimenta.operators.dimensional import map_surrogate, unknown_key_counts
 from sedimenta.plans import analytics, marts, star
 from sedimenta.plans.lake import Lake, session_lake
 from sedimenta.plans.layers import run_layers
+from sedimenta.plans.sizing import size_shuffles
 from sedimenta.plans.specs import WIDE_SPECS
 from sedimenta.sources.landing import read_landing_csv, table_name, write_landing
 from sedimenta.sources.retail import RetailSource
@@ -42,6 +43,8 @@ def plain_money(df: DataFrame) -> DataFrame:
 
 
 def lake_of(spark: SparkSession, folder: str) -> Lake:
+    """The session's stored layers over ``folder``; shuffles are sized from its files the first time."""
+    size_shuffles(spark, folder)
     return session_lake(spark, folder, RetailSource(spark, folder), WIDE_SPECS)
 
 
@@ -290,11 +293,10 @@ def star_sql(spark, folder):
 
 
 def layers_end_to_end(spark, folder):
-    """All layers for the donations star, through landing files and bronze tables, to the monthly mart."""
-    tables = ["plataformas", "streamers", "viewers", "jogos", "transmissoes", "visualizacoes", "assinaturas", "doacoes"]
+    """All tables through landing files, bronze, silver and star to the marts; gives the monthly one."""
 
     def run(root):
-        run_layers(spark, RetailSource(spark, folder), root, DAY, tables=tables, specs=WIDE_SPECS)
+        run_layers(spark, RetailSource(spark, folder), root, DAY, specs=WIDE_SPECS)
         return root
 
     root = lake_of(spark, folder).once("end_to_end", run)

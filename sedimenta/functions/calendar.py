@@ -18,6 +18,15 @@ def date_key(moment: Column) -> Column:
     return F.coalesce(day_number(F.to_date(moment)), F.lit(UNKNOWN_KEY)).cast("int")
 
 
+def months_of_key(key: Column) -> list[Column]:
+    """Year and month (``ano``, ``mes``) read back from a yyyyMMdd key, NULL for the unknown day.
+
+    The key says all a monthly total needs, so a fact does not have to meet the calendar for it.
+    """
+    known = F.when(key != UNKNOWN_KEY, key)
+    return [F.floor(known / 10000).cast("int").alias("ano"), (F.floor(known / 100) % 100).cast("int").alias("mes")]
+
+
 def month_name(day: Column) -> Column:
     return F.date_format(day, "MMMM")
 

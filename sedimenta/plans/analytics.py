@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sedimenta.functions.calendar import months_of_key
 from sedimenta.functions.measures import percent_change, ratio
 from sedimenta.operators.dimensional import known_members, orphan_counts
 from sedimenta.plans.marts import by_month, by_platform, platform_of_streamer, sort_by
@@ -22,11 +23,6 @@ Tables = Mapping[str, DataFrame]
 MONEY = "decimal(20,2)"
 
 
-def _months(t: Tables) -> DataFrame:
-    # One row per calendar day, whatever the facts hold: a few million rows at the very most.
-    return F.broadcast(t["dim_tempo"].select("sk_tempo", "ano", "mes"))
-
-
 # Star queries
 
 
@@ -213,8 +209,7 @@ def revenue_per_streamer(t: Tables) -> DataFrame:
     amounts = t["fato_doacoes"].select("sk_streamer", "sk_tempo", F.col("valor").alias("_amount")).unionByName(
         t["fato_assinaturas"].select("sk_streamer", "sk_tempo", F.col("valor_mensal").alias("_amount"))
     )
-    months = known_members(amounts, "sk_streamer").join(_months(t), "sk_tempo")
-    totals = months.groupBy("sk_streamer", "ano", "mes").agg(
+    totals = known_members(amounts, "sk_streamer").groupBy("sk_streamer", *months_of_key(F.col("sk_tempo"))).agg(
         F.coalesce(F.sum("_amount"), F.lit(0)).alias("receita_total")
     )
     named = totals.join(t["dim_streamer"].select("sk_streamer", "nome_streamer"), "sk_streamer")
@@ -223,8 +218,9 @@ def revenue_per_streamer(t: Tables) -> DataFrame:
 
 def watch_hours(t: Tables) -> DataFrame:
     """Hours watched per game and month."""
-    months = known_members(t["fato_visualizacoes"], "sk_jogo").join(_months(t), "sk_tempo")
-    totals = months.groupBy("sk_jogo", "ano", "mes").agg((F.sum("minutos_assistidos") / F.lit(60.0)).alias("horas_assistidas"))
+    totals = known_members(t["fato_visualizacoes"], "sk_jogo").groupBy("sk_jogo", *months_of_key(F.col("sk_tempo"))).agg(
+        (F.sum("minutos_assistidos") / F.lit(60.0)).alias("horas_assistidas")
+    )
     named = totals.join(t["dim_jogo"].select("sk_jogo", "nome_jogo"), "sk_jogo")
     return named.select("sk_jogo", "nome_jogo", "ano", "mes", "horas_assistidas")
 
@@ -236,8 +232,10 @@ def average_peak_per_game(t: Tables) -> DataFrame:
 
 def unique_viewers(t: Tables) -> DataFrame:
     """Distinct viewers per streamer and month."""
-    months = known_members(t["fato_visualizacoes"], "sk_streamer").join(_months(t), "sk_tempo")
-    totals = months.groupBy("sk_streamer", "ano", "mes").agg(F.count_distinct("sk_viewer").alias("viewers_unicos"))
+    views = known_members(t["fato_visualizacoes"], "sk_streamer")
+    totals = views.groupBy("sk_streamer", *months_of_key(F.col("sk_tempo"))).agg(
+        F.count_distinct("sk_viewer").alias("viewers_unicos")
+    )
     named = totals.join(t["dim_streamer"].select("sk_streamer", "nome_streamer"), "sk_streamer")
     return named.select("sk_streamer", "nome_streamer", "ano", "mes", "viewers_unicos")
 
@@ -249,11 +247,8 @@ def average_ticket(t: Tables) -> DataFrame:
 
 def average_duration(t: Tables) -> DataFrame:
     """Mean broadcast length per month."""
-    days = t["fato_transmissoes"].groupBy("sk_tempo").agg(
-        F.sum("duracao_minutos").alias("_sum"), F.count("duracao_minutos").alias("_rows")
-    )
-    months = days.join(_months(t), "sk_tempo").groupBy("ano", "mes")
-    return months.agg(ratio(F.sum("_sum"), F.sum("_rows")).alias("duracao_media_min"))
+    months = t["fato_transmissoes"].groupBy(*months_of_key(F.col("sk_tempo")))
+    return months.agg(F.avg("duracao_minutos").alias("duracao_media_min"))
 
 
 def platform_revenue(t: Tables) -> DataFrame:

@@ -113,6 +113,8 @@ class Lake(Mapping):
     def once(self, label: str, work: Callable[[str], object]):
         """``work`` on a folder of its own under the lake's; later calls get the first call's result."""
         with self._once_lock:
+            lock = self._locks.setdefault(label, threading.RLock())
+        with lock:
             if label not in self._once:
                 self._once[label] = work(f"{self.root}/{label}")
             return self._once[label]

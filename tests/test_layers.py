@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.plans import marts, star
+from sedimenta.plans import marts, sizing, star
 from sedimenta.plans.lake import Lake, shared_folder
 from sedimenta.plans.layers import export_marts, landed_tables, run_layers
 from sedimenta.plans.specs import SPECS
@@ -241,3 +241,23 @@ def test_empty_tables_go_through(spark, folder):
         lake.build("dim_tempo")
     with pytest.raises(KeyError):
         lake["nada"]
+
+
+def test_shuffles_start_as_wide_as_the_data(spark, folder, monkeypatch):
+    spark.range(1_000).write.parquet(f"{folder}/t")
+    assert sizing.stored_bytes(spark, folder) > 1_000
+    assert [sizing.partitions_for(n) for n in (0, 1, 1 << 30, 100 << 40)] == [0, 1, 4, sizing.MOST_PARTITIONS]
+    sizing.size_shuffles(spark, folder)
+    assert spark.conf.get(sizing.INITIAL, None) is None
+    monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", 100)
+    try:
+        sizing.size_shuffles(spark, folder)
+        assert int(spark.conf.get(sizing.INITIAL)) > 8
+    finally:
+        spark.conf.unset(sizing.INITIAL)
+
+
+def test_work_on_a_folder_is_done_once(spark, folder):
+    lake, calls = Lake(spark, folder, None), []
+    assert lake.once("a", lambda root: calls.append(root) or root) == f"{folder}/a" == lake.once("a", calls.append)
+    assert calls == [f"{folder}/a"]
