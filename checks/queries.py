@@ -43,8 +43,7 @@ def plain_money(df: DataFrame) -> DataFrame:
 
 
 def lake_of(spark: SparkSession, folder: str) -> Lake:
-    """The session's stored layers over ``folder``; shuffles are sized from its files the first time."""
-    size_shuffles(spark, folder)
+    """The session's stored layers over ``folder``."""
     return session_lake(spark, folder, RetailSource(spark, folder), WIDE_SPECS)
 
 
@@ -346,4 +345,12 @@ def registered() -> dict[str, Query]:
         },
         **_each(analytics.QUERIES, lambda spark, folder, name: analytics.QUERIES[name](lake_of(spark, folder))),
     }
-    return {name: (lambda spark, folder, q=query: plain_money(q(spark, folder))) for name, query in found.items()}
+
+    def sized(query: Query) -> Query:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            lake_of(spark, folder).once("shuffle_width", lambda _: size_shuffles(spark, folder))
+            return plain_money(query(spark, folder))
+
+        return run
+
+    return {name: sized(query) for name, query in found.items()}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sedimenta.operators.audit import stamp_bronze
 from sedimenta.plans import marts, star
 from sedimenta.plans.lake import Lake, Written
+from sedimenta.plans.sizing import size_shuffles
 from sedimenta.plans.specs import SPECS, TableSpec, select_names
 from sedimenta.sources.jdbc import export_jdbc
 from sedimenta.sources.landing import discover_landing, landing_path, read_landing_csv, write_landing
@@ -86,10 +87,12 @@ def run_layers(
         for name, rows in zip(names, side_by_side(lambda n: load_bronze(spark, root, n, day, fmt), names)):
             note("bronze", Written("bronze", name, rows))
     if "silver" in stages:
+        size_shuffles(spark, f"{root}/bronze")
         for done in side_by_side(lake.write_quarantine, tables):
             note("silver", done)
     if "star" in stages:
         _reuse(lake, star.needed(objects)[0], stages, "silver")
+        size_shuffles(spark, f"{root}/silver")
         for group in (star.DIMENSIONS, ("fato_transmissoes",), star.FACTS):
             lake.build_all([name for name in objects if name in group], at_once)
         for name in objects:

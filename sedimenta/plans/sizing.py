@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 from pyspark.sql import SparkSession
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
@@ -15,7 +13,6 @@ def partitions_for(data_bytes: int) -> int:
     return min(-(-data_bytes // BYTES_PER_PARTITION), MOST_PARTITIONS)
 
 
-@cache
 def stored_bytes(spark: SparkSession, folder: str) -> int:
     """Bytes of all files under ``folder``, as its file system sums them up."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
@@ -24,11 +21,13 @@ def stored_bytes(spark: SparkSession, folder: str) -> int:
 
 
 def size_shuffles(spark: SparkSession, folder: str) -> None:
-    """Starts shuffles of this session wide enough for the data under ``folder``.
+    """Makes shuffles of this session start wide enough for the data under ``folder``.
 
-    Adaptive execution merges partitions that turn out small, but cannot start with more than it is
-    given. A number the session has set itself, or a wider default, is left alone.
+    It only ever widens: adaptive execution merges partitions that turn out small, but cannot start
+    with more than it is given. So a session that goes from one folder to a larger one keeps up.
     """
-    wanted = partitions_for(stored_bytes(spark, folder))
-    if spark.conf.get(INITIAL, None) is None and wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    current = int(spark.conf.get(INITIAL, None) or default)
+    wanted = max(partitions_for(stored_bytes(spark, folder)), default)
+    if wanted > current:
         spark.conf.set(INITIAL, str(wanted))

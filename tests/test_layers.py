@@ -244,15 +244,22 @@ def test_empty_tables_go_through(spark, folder):
 
 
 def test_shuffles_start_as_wide_as_the_data(spark, folder, monkeypatch):
-    spark.range(1_000).write.parquet(f"{folder}/t")
-    assert sizing.stored_bytes(spark, folder) > 1_000
+    for n in (1_000, 100_000):
+        spark.range(n).coalesce(1).write.parquet(f"{folder}/{n}")
+    small, large = f"{folder}/1000", f"{folder}/100000"
+    assert 1_000 < sizing.stored_bytes(spark, small) < sizing.stored_bytes(spark, large)
     assert [sizing.partitions_for(n) for n in (0, 1, 1 << 30, 100 << 40)] == [0, 1, 4, sizing.MOST_PARTITIONS]
-    sizing.size_shuffles(spark, folder)
+    sizing.size_shuffles(spark, large)
     assert spark.conf.get(sizing.INITIAL, None) is None
     monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", 100)
     try:
-        sizing.size_shuffles(spark, folder)
-        assert int(spark.conf.get(sizing.INITIAL)) > 8
+        sizing.size_shuffles(spark, small)
+        first = int(spark.conf.get(sizing.INITIAL))
+        sizing.size_shuffles(spark, large)
+        second = int(spark.conf.get(sizing.INITIAL))
+        assert 8 < first < second
+        sizing.size_shuffles(spark, small)
+        assert int(spark.conf.get(sizing.INITIAL)) == second
     finally:
         spark.conf.unset(sizing.INITIAL)
 
