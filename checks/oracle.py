@@ -526,6 +526,31 @@ def bronze_list(table: str) -> str:
     return ", ".join(map(text, names_of(table)))
 
 
+# Dates are shown as ISO text.
+DATES = {
+    "streamers": ["data_cadastro"],
+    "viewers": ["data_cadastro"],
+    "follows": ["data_follow", "data_unfollow"],
+    "assinaturas": ["data_inicio", "data_fim"],
+    "moderadores": ["data_inicio", "data_fim"],
+}
+DATED = {
+    **{f"{kind}_{table}": names for table, names in DATES.items() for kind in ("std", "silver")},
+    "audit_prune": DATES["streamers"],
+    "dq_quarantine": DATES["assinaturas"],
+    "dim_streamer": DATES["streamers"],
+    "dim_viewer": DATES["viewers"],
+    "dim_tempo": ["data"],
+    "fn_calendar": ["data"],
+    "std_numeric_dates": ["dia"],
+}
+
+
+def shown(name: str, final: str) -> str:
+    casts = ", ".join(f"CAST({n} AS VARCHAR) AS {n}" for n in DATED.get(name, ()))
+    return f"SELECT * REPLACE ({casts}) FROM ({final.strip()})" if casts else final
+
+
 def finals() -> dict[str, str]:
     found = {}
     for table in SOURCES:
@@ -539,10 +564,10 @@ def finals() -> dict[str, str]:
             found[name] = f"SELECT * REPLACE ({casts}) FROM {name}" if casts else f"SELECT * FROM {name}"
     for name, columns in MART_COLUMNS.items():
         found[f"mart_{name}"] = f"SELECT {columns} FROM agg_{name}"
-    return {**found, **FINAL}
+    return {name: shown(name, final) for name, final in {**found, **FINAL}.items()}
 
 
-def statement(final: str, known: dict[str, str], own: str | None = None) -> str:
+def statement(final: str, known: dict[str, str]) -> str:
     """``final`` with the WITH parts it refers to, in order of definition."""
     needed, pending = set(), [final]
     while pending:

@@ -32,11 +32,12 @@ DAY = "2024-01-01"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def plain_money(df: DataFrame) -> DataFrame:
-    """Decimals as DOUBLE, the one number type that reads the same from both engines."""
+def comparable(df: DataFrame) -> DataFrame:
+    """Decimals as DOUBLE and dates as ISO text, which read the same from every client of both engines."""
+    shown = {T.DecimalType: "double", T.DateType: "string"}
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f.name)
+            F.col(f.name).cast(shown[type(f.dataType)]).alias(f.name) if type(f.dataType) in shown else F.col(f.name)
             for f in df.schema.fields
         ]
     )
@@ -349,7 +350,7 @@ def registered() -> dict[str, Query]:
     def sized(query: Query) -> Query:
         def run(spark: SparkSession, folder: str) -> DataFrame:
             lake_of(spark, folder).once("shuffle_width", lambda _: size_shuffles(spark, folder))
-            return plain_money(query(spark, folder))
+            return comparable(query(spark, folder))
 
         return run
 

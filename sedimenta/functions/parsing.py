@@ -27,10 +27,13 @@ def parse_boolean(col: Column) -> Column:
 
 
 def parse_integer(col: Column, dtype: T.DataType) -> Column:
-    """Whole part of a decimal text ('12.9' is 12, '-1.9' is -1). Exponents and overflow give NULL."""
-    text = clean_text(col)
-    number = text.try_cast("decimal(38,10)").try_cast(dtype)
-    return F.when(~text.rlike("[eE]"), number)
+    """Whole part of a decimal text ('12.9' is 12, '-1.9' is -1). Exponents and overflow give NULL.
+
+    Plain integers are read directly; only what that does not accept goes the longer way.
+    """
+    text = F.trim(col)
+    with_fraction = F.when(~text.rlike("[eE]"), text.try_cast("decimal(38,10)").try_cast(dtype))
+    return F.coalesce(text.try_cast(dtype), with_fraction)
 
 
 def parse_as(col: Column, dtype: T.DataType, coded: bool = False) -> Column:
@@ -41,7 +44,7 @@ def parse_as(col: Column, dtype: T.DataType, coded: bool = False) -> Column:
         return parse_boolean(col)
     if isinstance(dtype, T.IntegralType):
         return parse_integer(col, dtype)
-    return clean_text(col).try_cast(dtype)
+    return F.trim(col).try_cast(dtype)
 
 
 def as_text(col: Column, dtype: T.DataType) -> Column:
