@@ -61,7 +61,7 @@ def with_unknown_member(dim: DataFrame, sk: str) -> DataFrame:
         return F.lit(UNKNOWN_TEXT if isinstance(dtype, T.StringType) else None)
 
     row = [value(f.name, f.dataType).cast(f.dataType).alias(f.name) for f in dim.schema.fields]
-    return dim.sparkSession.range(1).select(*row).unionByName(dim)
+    return dim.sparkSession.range(0, 1, 1, numPartitions=1).select(*row).unionByName(dim)
 
 
 def known_members(dim: DataFrame, sk: str) -> DataFrame:

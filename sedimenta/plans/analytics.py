@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from sedimenta.functions.calendar import months_of_key
 from sedimenta.functions.measures import percent_change, ratio
 from sedimenta.operators.dimensional import known_members, orphan_counts
-from sedimenta.plans.marts import by_month, by_platform, platform_of_streamer, sort_by
+from sedimenta.plans.marts import by_month, by_platform, per_streamer, sort_by
 
 Tables = Mapping[str, DataFrame]
 
@@ -253,17 +253,11 @@ def average_duration(t: Tables) -> DataFrame:
 
 def platform_revenue(t: Tables) -> DataFrame:
     """Donations and the monthly price of active subscriptions per platform."""
-    platforms = platform_of_streamer(t)
-    donations = by_platform(t["fato_doacoes"], platforms, "valor", "_donations")
     active = t["fato_assinaturas"].where("ativa")
-    recurring = by_platform(active, platforms, "valor_mensal", "_mrr")
-    known = known_members(t["dim_plataforma"], "sk_plataforma").select("sk_plataforma", "nome_plataforma")
-    both = known.join(donations, "sk_plataforma", "left").join(recurring, "sk_plataforma", "left")
-    zero = F.lit(0)
-    return both.select(
-        "nome_plataforma",
-        (F.coalesce("_donations", zero) + F.coalesce("_mrr", zero)).alias("receita_total"),
+    platforms = by_platform(
+        t, per_streamer(t["fato_doacoes"], "valor", "_donations"), per_streamer(active, "valor_mensal", "_mrr")
     )
+    return platforms.select("nome_plataforma", (F.col("_donations") + F.col("_mrr")).alias("receita_total"))
 
 
 # Queries by the name they are registered under.

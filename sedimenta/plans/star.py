@@ -32,7 +32,14 @@ def dim_plataforma(t: Tables, rows: Rows) -> DataFrame:
 def dim_streamer(t: Tables, rows: Rows) -> DataFrame:
     """Streamers with the name of their platform."""
     platforms = t["plataformas"].select("id_plataforma", F.col("nome").alias("nome_plataforma"))
-    streamers = t["streamers"].join(platforms, "id_plataforma", "left")
+    streamers = lookup_join(
+        t["streamers"],
+        platforms,
+        "id_plataforma",
+        "id_plataforma",
+        right_rows=rows.get("plataformas"),
+        spread_by=("id_streamer",),
+    )
     return build_dimension(
         streamers,
         "sk_streamer",
