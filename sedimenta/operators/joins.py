@@ -37,11 +37,11 @@ def lookup_join(
 ) -> DataFrame:
     """``left`` with the other columns of ``right``, NULL where nothing matches.
 
-    ``right`` has one row per ``right_key``. With a counted ``right_rows`` of at most
-    ``BROADCAST_ROWS`` it is broadcast. Otherwise both sides are shuffled, except for the hot keys:
-    their few right rows are broadcast, and the left rows they match, like those without a key, are
-    spread over all partitions by a hash of ``spread_by`` (the left side's own key; all its columns
-    by default) instead of meeting in one.
+    ``right`` has one row per ``right_key``; keys are integers. With a counted ``right_rows`` of at
+    most ``BROADCAST_ROWS`` it is broadcast. Otherwise both sides are shuffled, except for the hot
+    keys: what they find is broadcast (nothing, for a hot key ``right`` does not have), and their
+    rows, like rows without a key, are spread over all partitions by a hash of ``spread_by`` (the
+    left side's own key; all its columns by default) instead of meeting in one.
 
     ``hot_from`` is a cheaper place to count ``left_key`` from, such as a stored table.
     """
@@ -51,16 +51,17 @@ def lookup_join(
         joined = left.join(F.broadcast(right), left[left_key] == F.col("_rk"), "left")
         return joined.select(*left.columns, *[F.col(f"_r_{n}").alias(n) for n in values])
 
-    hot = hot_keys(left if hot_from is None else hot_from, left_key)
-    hot_right = right.join(F.broadcast(hot), F.col("_rk") == F.col("_hot"), "left_semi").select(
-        F.col("_rk").alias("_hk"), *[F.col(f"_r_{n}").alias(f"_h_{n}") for n in values]
+    # The few hot keys are looked up in the same shuffle of ``right`` as the rows of the main join.
+    far = right.withColumn("_rpart", F.col("_rk").cast("long"))
+    hot = hot_keys(left if hot_from is None else hot_from, left_key).withColumn("_hpart", F.col("_hot").cast("long"))
+    settled = hot.join(far, (F.col("_hot") == F.col("_rk")) & (F.col("_hpart") == F.col("_rpart")), "left").select(
+        "_hot", *[F.col(f"_r_{n}").alias(f"_h_{n}") for n in values]
     )
-    near = left.join(F.broadcast(hot_right), left[left_key] == F.col("_hk"), "left")
-    # Rows settled above, and rows without a key, get a NULL first key: they match nothing in the
-    # second join and their partition follows from the hash alone.
-    near = near.withColumn("_cold", F.when(F.col("_hk").isNull(), F.col(left_key)))
+    near = left.join(F.broadcast(settled), left[left_key] == F.col("_hot"), "left")
+    # Rows settled above (found or not), and rows without a key, get a NULL first key: they match
+    # nothing in the second join and their partition follows from the hash alone.
+    near = near.withColumn("_cold", F.when(F.col("_hot").isNull(), F.col(left_key)))
     near = near.withColumn("_part", F.coalesce(F.col("_cold").cast("long"), F.xxhash64(*(spread_by or left.columns))))
-    far = right.withColumn("_rpart", F.col("_rk").cast("long"))
     joined = near.join(far, (F.col("_cold") == F.col("_rk")) & (F.col("_part") == F.col("_rpart")), "left")
     return joined.select(
         *left.columns, *[F.coalesce(F.col(f"_h_{n}"), F.col(f"_r_{n}")).alias(n) for n in values]
