@@ -268,3 +268,11 @@ def test_work_on_a_folder_is_done_once(spark, folder):
     lake, calls = Lake(spark, folder, None), []
     assert lake.once("a", lambda root: calls.append(root) or root) == f"{folder}/a" == lake.once("a", calls.append)
     assert calls == [f"{folder}/a"]
+
+
+def test_a_failed_run_leaves_its_log(spark, folder):
+    """Empty tables get as far as the calendar."""
+    with pytest.raises(Exception, match="no valid dates"):
+        run_layers(spark, lambda name: synthetic.synthesize(spark, name, 0), folder, "2024-05-01")
+    log = spark.read.parquet(f"{folder}/_run_log")
+    assert {r.stage for r in log.collect()} == {"landing", "bronze", "silver"}
