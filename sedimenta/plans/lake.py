@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import tempfile
 import threading
-import zlib
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -155,9 +156,17 @@ class Lake(Mapping):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the session names it; a local one only where none is set."""
+    """The folder all executors can reach, as ``spark.checkpoint.dir`` names it.
+
+    Where none is set, one process (master ``local``) gets a temporary folder; on a cluster that is an error, since
+    each executor would write to a disk of its own.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or tempfile.mkdtemp(prefix="sedimenta-")).rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="sedimenta-")
 
 
 _lakes: dict[tuple[str, str], Lake] = {}
@@ -170,6 +179,6 @@ def session_lake(spark: SparkSession, label: str, bronze: Callable[[str], DataFr
     with _lakes_lock:
         key = (application, label)
         if key not in _lakes:
-            folder = f"sedimenta-{application}-{zlib.crc32(label.encode()):08x}"
+            folder = f"sedimenta-{application}-{hashlib.sha256(label.encode()).hexdigest()}"
             _lakes[key] = Lake(spark, f"{shared_folder(spark)}/{folder}", bronze, specs)
         return _lakes[key]

@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as contract
+from checks.oracle import statements
+from checks.queries import registered
 from compare import DATA, connect, difference
 
 FOLDER = f"{DATA}/sf0.001"
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registered()
+SQL = statements()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
