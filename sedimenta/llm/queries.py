@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe
+from sedimenta.llm import bpe, decontamination
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,5 +27,19 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    items = F.array_sort(F.col("items").cast("array<string>"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+        F.size("near_items").cast("long").alias("n_near_items"),
+    )
+
+
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op10_byte_bpe,)}
+    return {query.__name__: query for query in (op5_decontamination, op10_byte_bpe)}
