@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, decontamination
+from sedimenta.llm import bpe, decontamination, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = bpe.decode(bpe.encode(docs).drop("text"))
@@ -42,4 +47,4 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op5_decontamination, op10_byte_bpe)}
+    return {query.__name__: query for query in (op5_decontamination, op6_simhash, op10_byte_bpe)}
