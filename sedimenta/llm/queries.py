@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, decontamination, simhash
+from sedimenta.llm import bpe, decontamination, secret_ledger, simhash
+from sedimenta.llm.store import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,17 +22,37 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = secret_ledger.scan(docs, fresh_folder(spark, "secret-ledger"))
+    base = F.filter("findings", lambda f: f["kind"].isin(*secret_ledger.BASE))
+
+    def count(kind):
+        return F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in secret_ledger.BASE],
+        joined_digest(secret_ledger.ordered(base)).alias("base_sha256"),
+        F.array_join(secret_ledger.ordered(F.col("findings")), ",").alias("spans"),
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = bpe.decode(bpe.encode(docs).drop("text"))
     return done.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        joined_digest(F.col("ids").cast("array<string>")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
+def joined_digest(parts):
+    return F.sha2(F.array_join(parts, ",").cast("binary"), 256)
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     items = F.array_sort(F.col("items").cast("array<string>"))
@@ -40,11 +61,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         "n_words",
         "n_hit",
         F.size("items").cast("long").alias("n_items"),
-        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        joined_digest(items).alias("items_sha256"),
         "contaminated",
         F.size("near_items").cast("long").alias("n_near_items"),
     )
 
 
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op5_decontamination, op6_simhash, op10_byte_bpe)}
+    return {query.__name__: query for query in (op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
