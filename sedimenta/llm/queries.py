@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, decontamination, secret_ledger, simhash
+from sedimenta.llm import bpe, decontamination, language, secret_ledger, simhash
 from sedimenta.llm.store import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,18 @@ def joined_digest(parts):
     return F.sha2(F.array_join(parts, ",").cast("binary"), 256)
 
 
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
+    return found.select(
+        "doc_id",
+        F.coalesce(language.fold("doc_id") == 0, F.lit(False)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.col("language.rejected").alias("rejected"),
+    )
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     items = F.array_sort(F.col("items").cast("array<string>"))
@@ -68,4 +80,4 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
+    return {query.__name__: query for query in (op2_language_id, op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
