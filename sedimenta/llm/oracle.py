@@ -3,5 +3,46 @@
 from __future__ import annotations
 
 
+#: Jump hashing round by round in 128-bit integers. DuckDB has no CRC-32: its table is made by the rule, and the
+#: checksum is folded over each text's bytes.
+SHARDS = """
+WITH RECURSIVE
+crc_bits(byte, step, value) AS (
+    SELECT range, 0, range::UBIGINT FROM range(256)
+    UNION ALL
+    SELECT byte, step + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384::UBIGINT) ELSE value >> 1 END
+    FROM crc_bits WHERE step < 8
+),
+crc_table AS (SELECT list(value ORDER BY byte) AS t FROM crc_bits WHERE step = 8),
+jumps(doc_id, shards, b, j, state) AS (
+    SELECT DISTINCT doc_id, n, -1::BIGINT, 0::BIGINT,
+        CASE WHEN coalesce(doc_id, 0) < 0 THEN doc_id::HUGEINT + 18446744073709551616 ELSE coalesce(doc_id, 0)::HUGEINT END
+    FROM documents, (VALUES (16), (17)) AS s(n)
+    UNION ALL
+    SELECT doc_id, shards, j, floor((j + 1)::DOUBLE * (2147483648::DOUBLE / ((next >> 33) + 1)::DOUBLE))::BIGINT, next
+    FROM (SELECT *, (state * 2862933555777941757::HUGEINT + 1) % 18446744073709551616::HUGEINT AS next FROM jumps
+          WHERE j < shards)
+),
+placed AS (
+    SELECT doc_id, max(b) FILTER (shards = 16) AS shard, max(b) FILTER (shards = 17) AS grown_shard
+    FROM jumps WHERE j >= shards GROUP BY doc_id
+),
+cells AS (
+    SELECT doc_id, ((state >> 33) % 4096)::INTEGER AS cell FROM jumps WHERE shards = 16 AND b = 0
+),
+sized AS (
+    SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size,
+        xor(list_reduce(
+            list_prepend(4294967295::UBIGINT, list_transform(
+                regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::UBIGINT)),
+            lambda a, x: xor(a >> 8, t[(xor(a, x) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS text_crc32
+    FROM documents, crc_table
+)
+SELECT s.doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard, grown_shard::INTEGER AS grown_shard,
+    row_number() OVER (PARTITION BY shard ORDER BY cell, s.doc_id, text_crc32, size) - 1 AS slot
+FROM sized s JOIN placed p ON s.doc_id IS NOT DISTINCT FROM p.doc_id JOIN cells c ON s.doc_id IS NOT DISTINCT FROM c.doc_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {}
+    return {"op1_sharding": SHARDS}

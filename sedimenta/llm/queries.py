@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, decontamination, language, secret_ledger, simhash
+from sedimenta.llm import bpe, decontamination, language, secret_ledger, sharding, simhash
 from sedimenta.llm.store import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def joined_digest(parts):
     return F.sha2(F.array_join(parts, ",").cast("binary"), 256)
 
 
+def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    found = sharding.placed(table(spark, folder, "documents"))
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = language.identify(docs.select("doc_id", "text"), language.fit(docs))
@@ -80,4 +85,4 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op2_language_id, op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
+    return {query.__name__: query for query in (op1_sharding, op2_language_id, op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
