@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, decontamination, language, secret_ledger, sharding, simhash
+from sedimenta.llm import bpe, decontamination, language, repetition, secret_ledger, sharding, simhash
 from sedimenta.llm.store import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +70,19 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_repetition(spark: SparkSession, folder: str) -> DataFrame:
+    found = repetition.measure(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+    measured = F.col("repetition")
+    failed = repetition.base_failed(measured)
+    return found.select(
+        "doc_id",
+        *[measured[n].alias(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        failed.alias("base_failed"),
+        (~failed & ~repetition.repetitive(measured)).alias("kept"),
+        *[measured[n].alias(n) for n in ("covered_words", "longest_repeat")],
+    )
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     items = F.array_sort(F.col("items").cast("array<string>"))
@@ -85,4 +98,4 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op1_sharding, op2_language_id, op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
+    return {query.__name__: query for query in (op1_sharding, op2_language_id, op3_repetition, op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
