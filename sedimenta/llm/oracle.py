@@ -44,5 +44,54 @@ FROM sized s JOIN placed p ON s.doc_id IS NOT DISTINCT FROM p.doc_id JOIN cells
 """
 
 
+_ESCAPED = "replace(replace(replace(replace(replace(replace({}, '\\', '\\\\'), '<|', '<\\|'), '</s>', '<\\/s>'), '<s>', '<\\s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"
+
+CHAT = f"""
+WITH turns AS (
+    SELECT conv_id, turn::BIGINT AS turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized AS (
+    SELECT *, {_ESCAPED.format("role")} AS r, {_ESCAPED.format("text")} AS t,
+        (strlen(r) + strlen(t) + 3) // 4 + 4 AS tokens, length(r) + length(t) + 12 + 10 + 11 AS chars,
+        row_number() OVER w AS nth
+    FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+),
+summed AS (
+    SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s,
+        max(tokens) OVER c AS longest,
+        coalesce(max(CASE WHEN nth = 1 AND role = 'system' THEN tokens END) OVER c, 0) AS kept,
+        coalesce(max(CASE WHEN nth = 1 AND role = 'system' THEN chars END) OVER c, 0) AS kept_chars
+    FROM sized WINDOW c AS (PARTITION BY conv_id)
+),
+spans AS (
+    SELECT *, greatest(1024 - 192 - kept - longest + 1, 192) AS stride,
+        CASE WHEN nth = 1 AND role = 'system' THEN 0 ELSE s - kept END AS before, before // stride AS span
+    FROM summed
+),
+starts AS (
+    SELECT conv_id, span, min(before) AS first, min(nth) AS nth, sum(chars) + CASE WHEN span > 0 THEN max(kept_chars) ELSE 0 END AS chars
+    FROM spans GROUP BY conv_id, span
+),
+repeats AS (
+    SELECT a.conv_id, sum(b.chars) AS chars
+    FROM starts a JOIN spans b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.span = b.span + 1 AND b.before >= a.first - 192
+        AND NOT (b.nth = 1 AND b.role = 'system')
+    GROUP BY a.conv_id
+),
+texts AS (
+    SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+        coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '') AS loss
+    FROM spans GROUP BY conv_id
+)
+SELECT x.conv_id, n_turns, turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
+    (w.chars + coalesce(r.chars, 0))::BIGINT AS formatted_chars, w.n_windows
+FROM texts x
+JOIN (SELECT conv_id, sum(chars) AS chars, count(*) AS n_windows FROM starts GROUP BY conv_id) w
+    ON x.conv_id IS NOT DISTINCT FROM w.conv_id
+LEFT JOIN repeats r ON x.conv_id IS NOT DISTINCT FROM r.conv_id
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_sharding": SHARDS}
+    return {"op1_sharding": SHARDS, "op4_chat_windows": CHAT}

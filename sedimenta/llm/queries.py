@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, decontamination, language, repetition, secret_ledger, sharding, simhash
+from sedimenta.llm import bpe, chat, decontamination, language, repetition, secret_ledger, sharding, simhash
 from sedimenta.llm.store import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,6 +83,29 @@ def op3_repetition(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    marks = F.lit("</s>[INST] ok [/INST]").alias("text")
+    added = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        marks,
+    )
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    found = chat.read_back(chat.windows(turns))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    trained = F.array_join("trained", "")
+    return found.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said.cast("binary"), 256).alias("turns_sha256"),
+        F.length(trained).cast("long").alias("loss_chars"),
+        F.sha2(trained.cast("binary"), 256).alias("loss_sha256"),
+        "formatted_chars",
+        "n_windows",
+    )
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     items = F.array_sort(F.col("items").cast("array<string>"))
@@ -98,4 +121,4 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op1_sharding, op2_language_id, op3_repetition, op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
+    return {query.__name__: query for query in (op1_sharding, op2_language_id, op3_repetition, op4_chat_windows, op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
