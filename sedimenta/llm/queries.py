@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, decontamination, language, repetition, secret_ledger, sharding, simhash
+from sedimenta.llm import bpe, chat, decontamination, language, pii, repetition, secret_ledger, sharding, simhash
 from sedimenta.llm.store import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,21 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.detect(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in pii.BASE],
+        joined_digest(pii.ordered(base)).alias("base_sha256"),
+        F.array_join(pii.ordered(F.col("spans")), ",").alias("spans"),
+    )
+
+
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     done = bpe.decode(bpe.encode(docs).drop("text"))
@@ -121,4 +136,4 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op1_sharding, op2_language_id, op3_repetition, op4_chat_windows, op5_decontamination, op6_simhash, op7_secrets, op10_byte_bpe)}
+    return {query.__name__: query for query in (op1_sharding, op2_language_id, op3_repetition, op4_chat_windows, op5_decontamination, op6_simhash, op7_secrets, op9_personal_data, op10_byte_bpe)}
