@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, decontamination, language, pii, repetition, secret_ledger, sharding, simhash
+from sedimenta.llm import bpe, chat, decontamination, language, pii, repetition, secret_ledger, sharding, simhash, weak_quality
 from sedimenta.llm.store import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op7_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_weak_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return weak_quality.classify(table(spark, folder, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.detect(table(spark, folder, "documents"))
     base = F.filter("spans", lambda s: s["base"])
@@ -136,4 +140,16 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Query]:
-    return {query.__name__: query for query in (op1_sharding, op2_language_id, op3_repetition, op4_chat_windows, op5_decontamination, op6_simhash, op7_secrets, op9_personal_data, op10_byte_bpe)}
+    found = (
+        op1_sharding,
+        op2_language_id,
+        op3_repetition,
+        op4_chat_windows,
+        op5_decontamination,
+        op6_simhash,
+        op7_secrets,
+        op8_weak_quality,
+        op9_personal_data,
+        op10_byte_bpe,
+    )
+    return {query.__name__: query for query in found}

@@ -241,21 +241,45 @@ def links(values: DataFrame) -> DataFrame:
     )
 
 
+def groups(values: DataFrame) -> DataFrame:
+    """``value`` and ``group``, one of the values that links lead to, the same for all of them."""
+    group = components(stored(links(values), "links"), "a", "b")
+    joined = values.join(group, values["value"] == group["node"], "left")
+    return joined.select("value", F.coalesce("component", "value").alias("group"))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """One row per document: its key, ``fingerprint`` (a signed long) and ``component_id``, the smallest key that links
     lead to.
 
     NULL, empty and blank texts have fingerprint zero, which links like any other. Rows with the same key stay
-    separate. NULL keys count as larger than any; a group of nothing else has a NULL component.
+    separate. NULL keys count as larger than any; a group of nothing else has a NULL component. Other columns play no
+    part.
     """
     hashed = stored(with_fingerprint(docs.select(key, text), text, words=words).drop(text), "fingerprints")
     distinct = stored(
         hashed.groupBy(F.col("fingerprint").alias("value")).agg(F.min(key).alias("smallest")), "distinct"
     )
-    group = components(stored(links(distinct.select("value")), "links"), "a", "b")
-    joined = distinct.join(group, distinct["value"] == group["node"], "left").select(
-        "value", "smallest", F.coalesce("component", "value").alias("group")
-    )
+    joined = distinct.join(groups(distinct.select("value")), "value")
     named = joined.groupBy("group").agg(F.min("smallest").alias("component_id"))
-    of_value = joined.select("value", "group").join(named, "group").select(F.col("value").alias("fingerprint"), "component_id")
+    of_value = joined.select(F.col("value").alias("fingerprint"), "group").join(named, "group").drop("group")
     return hashed.join(of_value, "fingerprint").select(key, "fingerprint", "component_id")
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the smallest key (NULL last); of repeated rows
+    with that key and fingerprint any one. All columns stay.
+
+    Texts move once, next to the small table of what is kept, so a large group does not meet in one task; only where a
+    kept key and fingerprint has several rows are these compared.
+    """
+    hashed = stored(with_fingerprint(docs, text, "_fingerprint", words), "with-fingerprints")
+    rows = hashed.groupBy(F.col(key).alias("key"), F.col("_fingerprint").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    first = F.min(F.struct(F.isnull("key").alias("last"), "key", "value", "n"))
+    distinct = stored(rows.groupBy("value").agg(first.alias("first")), "first")
+    chosen = distinct.join(groups(distinct.select("value")), "value").groupBy("group").agg(F.min("first").alias("first"))
+    kept = stored(chosen.select("first.key", "first.value", "first.n"), "kept")
+    same = hashed[key].eqNullSafe(F.col("key")) & (hashed["_fingerprint"] == F.col("value"))
+    alone = hashed.join(kept.where("n = 1").hint("shuffle_hash"), same, "left_semi")
+    repeated = hashed.join(kept.where("n > 1"), same, "left_semi").dropDuplicates([key, "_fingerprint"])
+    return alone.unionByName(repeated).drop("_fingerprint")
