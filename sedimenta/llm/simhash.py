@@ -278,8 +278,9 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     first = F.min(F.struct(F.isnull("key").alias("last"), "key", "value", "n"))
     distinct = stored(rows.groupBy("value").agg(first.alias("first")), "first")
     chosen = distinct.join(groups(distinct.select("value")), "value").groupBy("group").agg(F.min("first").alias("first"))
-    kept = stored(chosen.select("first.key", "first.value", "first.n"), "kept")
-    same = hashed[key].eqNullSafe(F.col("key")) & (hashed["_fingerprint"] == F.col("value"))
-    alone = hashed.join(kept.where("n = 1").hint("shuffle_hash"), same, "left_semi")
-    repeated = hashed.join(kept.where("n > 1"), same, "left_semi").dropDuplicates([key, "_fingerprint"])
+    names = [F.col(f"first.{name}").alias(f"_kept_{name}") for name in ("key", "value", "n")]
+    kept = stored(chosen.select(*names), "kept")
+    same = F.col(key).eqNullSafe(F.col("_kept_key")) & (F.col("_fingerprint") == F.col("_kept_value"))
+    alone = hashed.join(kept.where("_kept_n = 1").hint("shuffle_hash"), same, "left_semi")
+    repeated = hashed.join(kept.where("_kept_n > 1"), same, "left_semi").dropDuplicates([key, "_fingerprint"])
     return alone.unionByName(repeated).drop("_fingerprint")
