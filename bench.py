@@ -8,7 +8,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -18,6 +17,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.queries import DAY, lake_of, registered  # noqa: E402
 from sedimenta.plans import analytics, marts, star  # noqa: E402
+from sedimenta.plans.lake import shared_folder  # noqa: E402
 from sedimenta.plans.layers import run_layers  # noqa: E402
 from sedimenta.plans.specs import WIDE_SPECS  # noqa: E402
 from sedimenta.sources.retail import RetailSource  # noqa: E402
@@ -62,7 +62,7 @@ def main() -> None:
     for name in [*FROM_SOURCE, "lookup_hot_keys", "fact_unknown_fk_counts", *analytics.QUERIES]:
         run = queries[name]
         seconds[name] = timed(lambda: run(spark, FOLDER).write.format("noop").mode("overwrite").save())
-    root = tempfile.mkdtemp(prefix="bench-layers-")
+    root = f"{shared_folder(spark)}/bench-layers-{spark.sparkContext.applicationId}"
     source = RetailSource(spark, FOLDER)
     seconds["all_layers_from_csv"] = timed(lambda: run_layers(spark, source, root, DAY, specs=WIDE_SPECS))
     total = round(sum(seconds.values()), 3)

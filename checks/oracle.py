@@ -12,6 +12,16 @@ ITEMS = """
 SELECT l_orderkey, MIN(l_suppkey) AS sk, MIN(l_partkey) AS pk, MAX(l_shipdate) AS fim
 FROM lineitem GROUP BY l_orderkey
 """
+
+
+def parent(table: str, key: str = "event_id") -> str:
+    """A parent's id: each fourth the first one, the others spread over all, a share beyond the last."""
+    return (
+        f"CAST(CASE WHEN ({key})%4=0 THEN 1 ELSE ({key}) % (SELECT COUNT(*) + COUNT(*)//16 + 1 FROM {table}) + 1 END "
+        "AS BIGINT)"
+    )
+
+
 SOURCES = {
     "plataformas": "SELECT CAST(r_regionkey+1 AS BIGINT) AS id_plataforma, r_name AS nome FROM region",
     "jogos": """
@@ -26,9 +36,9 @@ SOURCES = {
         SELECT CAST(c_custkey+1 AS BIGINT) AS id_viewer, c_name AS nome, n_name AS pais,
                DATE '1995-01-01'+CAST(c_custkey%365 AS INT) AS data_cadastro
         FROM customer JOIN nation ON n_nationkey=c_nationkey""",
-    "emotes": """
+    "emotes": f"""
         SELECT CAST(event_id+1 AS BIGINT) AS id_emote, event_type AS nome,
-               CAST(event_id%12+1 AS BIGINT) AS id_streamer,
+               {parent("supplier")} AS id_streamer,
                CASE event_id%3 WHEN 0 THEN ' Gratis ' WHEN 1 THEN 'assinante' ELSE 'vip' END AS disponivel_para
         FROM events WHERE event_type='error'""",
     "transmissoes": """
@@ -41,9 +51,9 @@ SOURCES = {
                CAST(l_orderkey+1 AS BIGINT) AS id_transmissao, CAST(FLOOR(l_quantity) AS INT) AS minutos_assistidos,
                l_shipdate AS data_hora
         FROM lineitem JOIN orders ON o_orderkey=l_orderkey""",
-    "follows": """
+    "follows": f"""
         SELECT CAST(event_id+1 AS BIGINT) AS id_follow, CAST(user_id+1 AS BIGINT) AS id_viewer,
-               CAST(event_id%12+1 AS BIGINT) AS id_streamer, CAST(ts AS DATE) AS data_follow,
+               {parent("supplier")} AS id_streamer, CAST(ts AS DATE) AS data_follow,
                CASE WHEN event_id%5=0 THEN CAST(ts AS DATE)+CAST(event_id%9-2 AS INT) END AS data_unfollow
         FROM events WHERE event_type='signup'""",
     "assinaturas": """
@@ -60,19 +70,19 @@ SOURCES = {
                CAST(l_suppkey+1 AS BIGINT) AS id_streamer, CAST(l_orderkey+1 AS BIGINT) AS id_transmissao,
                CAST(l_extendedprice AS DECIMAL(8,2)) AS valor, l_shipdate AS data_hora
         FROM lineitem JOIN orders ON o_orderkey=l_orderkey WHERE l_returnflag='R'""",
-    "clips": """
-        SELECT CAST(event_id+1 AS BIGINT) AS id_clip, CAST(event_id%1500+1 AS BIGINT) AS id_transmissao,
+    "clips": f"""
+        SELECT CAST(event_id+1 AS BIGINT) AS id_clip, {parent("orders")} AS id_transmissao,
                CAST(user_id+1 AS BIGINT) AS id_viewer, CAST(FLOOR(value) AS INT) AS visualizacoes, ts AS data_criacao
         FROM events WHERE event_type='view'""",
-    "raids": """
-        SELECT CAST(event_id+1 AS BIGINT) AS id_raid, CAST(event_id%12+1 AS BIGINT) AS id_streamer_origem,
-               CAST((event_id+5)%12+1 AS BIGINT) AS id_streamer_destino,
-               CAST(event_id%1500+1 AS BIGINT) AS id_transmissao, CAST(FLOOR(value) AS INT) AS viewers_enviados,
+    "raids": f"""
+        SELECT CAST(event_id+1 AS BIGINT) AS id_raid, {parent("supplier")} AS id_streamer_origem,
+               {parent("supplier", "event_id+5")} AS id_streamer_destino,
+               {parent("orders")} AS id_transmissao, CAST(FLOOR(value) AS INT) AS viewers_enviados,
                ts AS data_hora
         FROM events WHERE event_type='click'""",
-    "moderadores": """
+    "moderadores": f"""
         SELECT CAST(event_id+1 AS BIGINT) AS id_moderador, CAST(user_id+1 AS BIGINT) AS id_viewer,
-               CAST(event_id%12+1 AS BIGINT) AS id_streamer, CAST(ts AS DATE) AS data_inicio,
+               {parent("supplier")} AS id_streamer, CAST(ts AS DATE) AS data_inicio,
                CASE WHEN event_id%4=0 THEN CAST(ts AS DATE)+CAST(event_id%7-1 AS INT) END AS data_fim
         FROM events WHERE event_type='purchase'""",
 }
@@ -332,12 +342,15 @@ FINAL = {
     "bronze_audit": " UNION ALL ".join(
         f"SELECT '{t}' AS tabela, '2024-01-01' AS _extraction_date, COUNT(*) AS linhas, COUNT(*) AS carimbadas "
         f"FROM src_{t}"
-        for t in ("plataformas", "streamers", "viewers", "transmissoes")
+        for t in SOURCES
     ),
     "csv_infer_scan": "SELECT * FROM src_jogos",
     "landing_table_name": " UNION ALL ".join(
-        f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM src_{t}" for t in ("jogos", "emotes", "follows", "doacoes")
+        f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM src_{t}" for t in SOURCES
     ),
+    "landing_line_breaks": """
+        SELECT id_jogo, nome || CASE id_jogo%4 WHEN 0 THEN CHR(10) WHEN 1 THEN CHR(13) || CHR(10) WHEN 2 THEN '","'
+               ELSE '\\n\\' END || 'fim' AS nome FROM src_jogos""",
     "landing_roundtrip": "SELECT * FROM src_transmissoes",
     "rowcount_report": " UNION ALL ".join(f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM src_{t}" for t in SOURCES)
     + " UNION ALL SELECT 'TOTAL', CAST(" + " + ".join(f"(SELECT COUNT(*) FROM src_{t})" for t in SOURCES) + " AS BIGINT)",
@@ -356,6 +369,12 @@ FINAL = {
     "dq_valid": "SELECT * EXCLUDE (_motivo_rejeicao) FROM dq_transmissoes WHERE _motivo_rejeicao IS NULL",
     "dq_quarantine": "SELECT * REPLACE (CAST(valor_mensal AS DOUBLE) AS valor_mensal) FROM dq_assinaturas "
     "WHERE _motivo_rejeicao IS NOT NULL",
+    "dq_strict_casts": f"""
+        SELECT NULLIF(CONCAT_WS('; ', motivo, CASE WHEN id_assinatura%11=0 THEN 'cast_invalido:data_fim' END,
+               CASE WHEN id_assinatura%7=0 THEN 'cast_invalido:valor_mensal' END), '') AS motivo, COUNT(*) AS linhas
+        FROM (SELECT id_assinatura, {reason('assinaturas')} AS motivo FROM (
+            SELECT * REPLACE (CASE WHEN id_assinatura%11<>0 THEN data_fim END AS data_fim) FROM typed_assinaturas))
+        GROUP BY 1""",
     "dedup_visualizacoes": "SELECT * FROM silver_visualizacoes",
     "dedup_counts": "SELECT * FROM ("
     + " UNION ALL ".join(
@@ -377,6 +396,9 @@ FINAL = {
         SELECT COALESCE(v.sk_viewer, -1) AS sk_viewer, COUNT(*) AS linhas,
                CAST(SUM(minutos_assistidos) AS BIGINT) AS minutos
         FROM silver_visualizacoes f LEFT JOIN dim_viewer v ON v.id_viewer = f.id_viewer GROUP BY 1""",
+    "lookup_hot_streamer": """
+        SELECT COALESCE(s.sk_streamer, -1) AS sk_streamer, COUNT(*) AS linhas, MAX(id_follow) AS ultimo
+        FROM silver_follows f LEFT JOIN dim_streamer s ON s.id_streamer = f.id_streamer GROUP BY 1""",
     "smart_date_key": """
         SELECT id_transmissao, COALESCE(CAST(STRFTIME(data_fim, '%Y%m%d') AS INT), -1) AS sk_tempo
         FROM src_transmissoes""",
@@ -405,6 +427,19 @@ FINAL = {
         SELECT nome_plataforma, CAST(SUM(valor) AS DOUBLE) AS total_doacoes, COUNT(*) AS qtd_doacoes
         FROM fato_doacoes JOIN dim_streamer USING (sk_streamer) GROUP BY nome_plataforma""",
     "layers_end_to_end": f"SELECT {MART_COLUMNS['receita_mensal']} FROM agg_receita_mensal",
+    "layers_all_outputs": " UNION ALL ".join(
+        f"SELECT '{name}' AS tabela, COUNT(*) AS linhas, CAST(SUM({key}) AS BIGINT) AS chaves FROM {table}"
+        for name, table, key in [
+            *[(t, f"silver_{t}", key_of(t)) for t in SOURCES],
+            *[(f"dim_{d}", f"dim_{d}", f"sk_{d}") for d in ("plataforma", "streamer", "viewer", "jogo", "tempo")],
+            ("fato_transmissoes", "fato_transmissoes", "sk_streamer"),
+            *[(f"fato_{f}", f"fato_{f}", "sk_viewer") for f in ("visualizacoes", "doacoes", "assinaturas")],
+            ("agg_streamer_visao_geral", "agg_streamer_visao_geral", "sk_streamer"),
+            ("agg_receita_mensal", "agg_receita_mensal", "mes"),
+            ("agg_jogo_popularidade", "agg_jogo_popularidade", "sk_jogo"),
+            ("agg_plataforma_resumo", "agg_plataforma_resumo", "sk_plataforma"),
+        ]
+    ),
     "q1_top_streamers_donations": """
         SELECT nome_streamer, nome_plataforma, CAST(SUM(valor) AS DOUBLE) AS total_doacoes, COUNT(*) AS qtd_doacoes
         FROM fato_doacoes JOIN dim_streamer USING (sk_streamer) GROUP BY nome_streamer, nome_plataforma
@@ -425,7 +460,7 @@ FINAL = {
         SELECT tipo, COUNT(*) AS assinaturas_ativas, CAST(SUM(valor_mensal) AS DOUBLE) AS mrr
         FROM fato_assinaturas WHERE ativa GROUP BY tipo""",
     "q6_engagement_fanout": """
-        SELECT nome_streamer, CAST(SUM(minutos_assistidos) AS BIGINT) AS minutos_assistidos,
+        SELECT nome_streamer, CAST(SUM(minutos_assistidos) AS DOUBLE) AS minutos_assistidos,
                CAST(COALESCE(SUM(valor), 0) AS DOUBLE) AS total_doacoes
         FROM dim_streamer s LEFT JOIN fato_visualizacoes v ON v.sk_streamer = s.sk_streamer
         LEFT JOIN fato_doacoes d ON d.sk_streamer = s.sk_streamer
@@ -467,7 +502,8 @@ FINAL = {
     "kpi4_active_viewers": """
         SELECT CAST(SUM(viewers_unicos) AS BIGINT) AS viewers_ativos_total FROM agg_streamer_visao_geral
         WHERE viewers_unicos > 0""",
-    "kpi4_distinct_viewers": "SELECT COUNT(DISTINCT sk_viewer) AS viewers_distintos_total FROM fato_visualizacoes",
+    "kpi4_distinct_viewers": "SELECT COUNT(DISTINCT sk_viewer) AS viewers_distintos_total FROM fato_visualizacoes "
+    "WHERE sk_viewer <> -1",
     "kpi4_viewers_by_platform": """
         SELECT nome_plataforma, CAST(SUM(viewers_unicos) AS BIGINT) AS viewers_ativos,
                CAST(SUM(minutos_assistidos) AS BIGINT) AS minutos_assistidos_total

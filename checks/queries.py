@@ -29,6 +29,22 @@ from sedimenta.sources.retail import RetailSource
 from sedimenta.sources.tables import read_table, register_star, row_counts
 
 DAY = "2024-01-01"
+# A key of each star and mart table that is summed up to compare them.
+OUTPUT_KEYS = {
+    "dim_plataforma": "sk_plataforma",
+    "dim_streamer": "sk_streamer",
+    "dim_viewer": "sk_viewer",
+    "dim_jogo": "sk_jogo",
+    "dim_tempo": "sk_tempo",
+    "fato_transmissoes": "sk_streamer",
+    "fato_visualizacoes": "sk_viewer",
+    "fato_doacoes": "sk_viewer",
+    "fato_assinaturas": "sk_viewer",
+    "agg_streamer_visao_geral": "sk_streamer",
+    "agg_receita_mensal": "mes",
+    "agg_jogo_popularidade": "sk_jogo",
+    "agg_plataforma_resumo": "sk_plataforma",
+}
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -88,7 +104,7 @@ def bronze(spark, folder, table):
 def bronze_audit(spark, folder):
     """Rows and distinct extraction dates per source table, as the provenance columns tell them."""
     parts = []
-    for table in ("plataformas", "streamers", "viewers", "transmissoes"):
+    for table in WIDE_SPECS:
         loaded = stamp_bronze(read_landing_csv(spark, landed(spark, folder, table)), DAY)
         parts.append(loaded.select(table_name(F.col("_source_file")).alias("tabela"), EXTRACTION_DATE, "_ingestion_timestamp"))
     return reduce(DataFrame.unionByName, parts).groupBy("tabela", EXTRACTION_DATE).agg(
@@ -103,7 +119,7 @@ def csv_infer_scan(spark, folder):
 
 def landing_table_name(spark, folder):
     """Rows per table, the table taken from the path of each landing file (less its header line)."""
-    paths = [landed(spark, folder, table) for table in ("jogos", "emotes", "follows", "doacoes")]
+    paths = [landed(spark, folder, table) for table in WIDE_SPECS]
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"))
     files = lines.groupBy("path").agg(F.count("*").alias("_lines"))
     names = files.groupBy(table_name(F.col("path")).alias("tabela"))
@@ -115,6 +131,16 @@ def landing_roundtrip(spark, folder):
     return quality.standardize(text, WIDE_SPECS["transmissoes"])
 
 
+def landing_line_breaks(spark, folder):
+    """Line breaks, quotes, commas and backslashes in values, through landing files and back."""
+    games = RetailSource(spark, folder)("jogos")
+    turn = F.col("id_jogo") % 4
+    odd = F.when(turn == 0, "\n").when(turn == 1, "\r\n").when(turn == 2, '","').otherwise("\\n\\")
+    named = games.withColumn("nome", F.concat("nome", odd, F.lit("fim")))
+    path = lake_of(spark, folder).once("line_breaks", lambda root: write_landing(named, root, "jogos", DAY))
+    return read_landing_csv(spark, path).select(F.col("id_jogo").cast("bigint").alias("id_jogo"), "nome")
+
+
 def rowcount_report(spark, folder):
     source = RetailSource(spark, folder)
     return row_counts({name: source(name) for name in WIDE_SPECS})
@@ -184,6 +210,19 @@ def dq_quarantine(spark, folder):
     return quality.quarantined_rows(evaluated(spark, folder, "assinaturas"))
 
 
+def dq_strict_casts(spark, folder):
+    """Reasons where amounts and dates that cannot be read are put in."""
+    turn = F.col("id_assinatura").cast("bigint")
+    dirty = bronze_text(spark, folder, "assinaturas").withColumns(
+        {
+            "valor_mensal": F.when(turn % 7 == 0, F.concat(F.lit("x"), "valor_mensal")).otherwise(F.col("valor_mensal")),
+            "data_fim": F.when(turn % 11 == 0, F.lit("2024-13-01")).otherwise(F.col("data_fim")),
+        }
+    )
+    found = quality.evaluate_strict(dirty, WIDE_SPECS["assinaturas"])
+    return found.groupBy(F.col(quality.REASON).alias("motivo")).agg(F.count("*").alias("linhas"))
+
+
 def dedup_visualizacoes(spark, folder):
     return silver(spark, folder, "visualizacoes")
 
@@ -195,7 +234,7 @@ def dedup_counts(spark, folder):
 
 
 def dq_report(spark, folder):
-    return quality.quality_report({name: evaluated(spark, folder, name) for name in WIDE_SPECS}, WIDE_SPECS)
+    return quality.quality_report({name: typed(spark, folder, name) for name in WIDE_SPECS}, WIDE_SPECS)
 
 
 # Star
@@ -225,6 +264,15 @@ def lookup_hot_keys(spark, folder):
     return keyed.groupBy("sk_viewer").agg(F.count("*").alias("linhas"), F.sum("minutos_assistidos").alias("minutos"))
 
 
+def lookup_hot_streamer(spark, folder):
+    """Follows by streamer, a quarter of them of one streamer, with the join that keeps hot keys apart."""
+    lake = lake_of(spark, folder)
+    keyed = map_surrogate(
+        lake["follows"], lake["dim_streamer"], "id_streamer", "id_streamer", "sk_streamer", spread_by=("id_follow",)
+    )
+    return keyed.groupBy("sk_streamer").agg(F.count("*").alias("linhas"), F.max("id_follow").alias("ultimo"))
+
+
 def smart_date_key(spark, folder):
     ends = RetailSource(spark, folder)("transmissoes")
     return ends.select("id_transmissao", date_key(F.col("data_fim")).alias("sk_tempo"))
@@ -294,13 +342,30 @@ def star_sql(spark, folder):
 
 def layers_end_to_end(spark, folder):
     """All tables through landing files, bronze, silver and star to the marts; gives the monthly one."""
+    root = all_layers(spark, folder)
+    return marts.sort_by(read_table(spark, root, "gold", "agg_receita_mensal"), "ano", "mes")
+
 
+def all_layers(spark, folder):
     def run(root):
         run_layers(spark, RetailSource(spark, folder), root, DAY, specs=WIDE_SPECS)
         return root
 
-    root = lake_of(spark, folder).once("end_to_end", run)
-    return marts.sort_by(read_table(spark, root, "gold", "agg_receita_mensal"), "ano", "mes")
+    return lake_of(spark, folder).once("end_to_end", run)
+
+
+def layers_all_outputs(spark, folder):
+    """Rows and the sum of a key of each of the 26 tables that the same run wrote."""
+    root = all_layers(spark, folder)
+    keys = {("silver", name): spec.key for name, spec in WIDE_SPECS.items()}
+    keys |= {("gold", name): OUTPUT_KEYS[name] for name in (*star.STAR, *marts.MARTS)}
+    parts = [
+        read_table(spark, root, layer, name).agg(
+            F.lit(name).alias("tabela"), F.count("*").alias("linhas"), F.sum(F.col(key).cast("bigint")).alias("chaves")
+        )
+        for (layer, name), key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _each(names, work, prefix=""):
@@ -313,6 +378,7 @@ def registered() -> dict[str, Query]:
         csv_infer_scan,
         landing_table_name,
         landing_roundtrip,
+        landing_line_breaks,
         rowcount_report,
         audit_prune,
         std_strings,
@@ -320,11 +386,13 @@ def registered() -> dict[str, Query]:
         std_numeric_dates,
         dq_valid,
         dq_quarantine,
+        dq_strict_casts,
         dedup_visualizacoes,
         dedup_counts,
         dq_report,
         lookup_unmatched,
         lookup_hot_keys,
+        lookup_hot_streamer,
         smart_date_key,
         fact_unknown_fk_counts,
         fn_calendar,
@@ -332,6 +400,7 @@ def registered() -> dict[str, Query]:
         fn_null_guards,
         star_sql,
         layers_end_to_end,
+        layers_all_outputs,
     ]
     found: dict[str, Query] = {
         **_each(WIDE_SPECS, bronze, "bronze_"),

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side this small goes to every task: at most 500,000 rows of a key and a few numbers.
+# A side this small goes to every task: at most so many counted rows, and so many bytes at the width of its columns.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+# Taken for a value of variable length; other types have their own size, 16 at most.
+TEXT_BYTES = 64
 # Hot keys are looked for in 64 groups of keys, 16 in each: at most 1,024 in all.
 KEY_GROUPS = 64
 HOT_PER_GROUP = 16
@@ -26,6 +29,12 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     return top.select(F.explode("_top").alias("_t")).select(F.col("_t.item").alias("_hot"))
 
 
+def fits_everywhere(side: DataFrame, rows: int | None) -> bool:
+    """Whether a side of so many counted rows is small enough to be broadcast."""
+    width = sum(TEXT_BYTES if kind in ("string", "binary") else 16 for _, kind in side.dtypes)
+    return rows is not None and rows <= BROADCAST_ROWS and rows * width <= BROADCAST_BYTES
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -37,8 +46,8 @@ def lookup_join(
 ) -> DataFrame:
     """``left`` with the other columns of ``right``, NULL where nothing matches.
 
-    ``right`` has one row per ``right_key``; keys are integers. With a counted ``right_rows`` of at
-    most ``BROADCAST_ROWS`` it is broadcast. Otherwise both sides are shuffled, except for the hot
+    ``right`` has one row per ``right_key``; keys are integers. Where its counted ``right_rows``
+    and its width make it small (``fits_everywhere``) it is broadcast. Otherwise both sides are shuffled, except for the hot
     keys: what they find is broadcast (nothing, for a hot key ``right`` does not have), and their
     rows, like rows without a key, are spread over all partitions by a hash of ``spread_by`` (the
     left side's own key; all its columns by default) instead of meeting in one.
@@ -47,7 +56,7 @@ def lookup_join(
     """
     values = [name for name in right.columns if name != right_key]
     right = right.select(F.col(right_key).alias("_rk"), *[F.col(n).alias(f"_r_{n}") for n in values])
-    if right_rows is not None and right_rows <= BROADCAST_ROWS:
+    if fits_everywhere(right, right_rows):
         joined = left.join(F.broadcast(right), left[left_key] == F.col("_rk"), "left")
         return joined.select(*left.columns, *[F.col(f"_r_{n}").alias(n) for n in values])
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,9 +63,37 @@ def evaluate_quality(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.withColumn(REASON, F.nullif(F.concat_ws("; ", *reasons), F.lit("")))
 
 
+def any_broken(spec: TableSpec) -> Column:
+    """Whether some rule rejects the row; never NULL, and no reason text is made."""
+    return reduce(or_, [broken for _, broken in rules(spec)])
+
+
+def evaluate_strict(bronze: DataFrame, spec: TableSpec, raw: str | None = None) -> DataFrame:
+    """Standardised rows of a text table with the rules' reasons and, after them, ``cast_invalido:<column>`` for every
+    value that is there but cannot be read as its type. ``raw`` names a column for the row as it was, as JSON."""
+    typed = spec.columns.items()
+    unread = [
+        F.when(clean_text(F.col(n)).isNotNull() & parse_as(F.col(n), t, False).isNull(), F.lit(f"cast_invalido:{n}"))
+        for n, t in typed
+        if not isinstance(t, T.StringType)
+    ]
+    given = bronze.withColumns(
+        {"_unread": F.nullif(F.concat_ws("; ", *unread), F.lit("")), "_raw": F.to_json(F.struct(*spec.columns))}
+    )
+    found = evaluate_quality(standardize(given, spec, keep=("_unread", "_raw")), spec)
+    reasons = F.nullif(F.concat_ws("; ", REASON, "_unread"), F.lit(""))
+    checked = found.withColumn(REASON, reasons).drop("_unread")
+    return checked.withColumnRenamed("_raw", raw) if raw else checked.drop("_raw")
+
+
+def rejected_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows some rule rejects, with their reasons: these are written out for them alone."""
+    return evaluate_quality(df.where(any_broken(spec)), spec)
+
+
 def clean_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The rows no rule rejects, as plain predicates that reach the scan; no reason text is made."""
-    return df.where(reduce(and_, [~broken for _, broken in rules(spec)]))
+    return df.where(~any_broken(spec))
 
 
 def valid_rows(evaluated: DataFrame) -> DataFrame:
@@ -96,13 +124,13 @@ def deduplicate(df: DataFrame, spec: TableSpec) -> DataFrame:
 def refine(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Bronze or typed source rows to (silver, quarantine)."""
     typed = standardize(df, spec, keep)
-    return deduplicate(clean_rows(typed, spec), spec), quarantined_rows(evaluate_quality(typed, spec))
+    return deduplicate(clean_rows(typed, spec), spec), rejected_rows(typed, spec)
 
 
-def table_report(evaluated: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row of counts from one pass: read = valid + quarantined + duplicates."""
-    clean = F.col(REASON).isNull()
-    counts = evaluated.agg(
+def table_report(typed: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row of counts from one pass over standardised rows: read = valid + quarantined + duplicates."""
+    clean = ~any_broken(spec)
+    counts = typed.agg(
         F.count(F.lit(1)).alias("lidos"),
         F.count_if(~clean).alias("quarentena"),
         F.count_if(clean).alias("_clean"),
@@ -117,5 +145,5 @@ def table_report(evaluated: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def quality_report(evaluated: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [table_report(df, specs[name]) for name, df in evaluated.items()])
+def quality_report(typed: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
+    return reduce(DataFrame.unionByName, [table_report(df, specs[name]) for name, df in typed.items()])

@@ -92,13 +92,15 @@ def engagement_fanout(t: Tables, k: int = 20) -> DataFrame:
     empty), so the sums over all pairs are products of per-streamer sums and counts: no pair is made.
     """
 
-    def times(rows):
-        return F.greatest(F.coalesce(F.col(rows), F.lit(0)), F.lit(1))
+    def times(value, rows):
+        """A product that does not overflow where its factors do not."""
+        each = F.greatest(F.coalesce(F.col(rows), F.lit(0)), F.lit(1)).cast("decimal(18,0)")
+        return F.col(value).cast("decimal(19,0)" if value == "_minutes" else "decimal(20,2)") * each
 
     named = _engagement_parts(t).groupBy("nome_streamer")
     totals = named.agg(
-        F.sum(F.col("_minutes") * times("_donations")).alias("minutos_assistidos"),
-        F.round(F.coalesce(F.sum(F.col("_amount") * times("_views")), F.lit(0)), 2).alias("total_doacoes"),
+        F.sum(times("_minutes", "_donations")).alias("minutos_assistidos"),
+        F.round(F.coalesce(F.sum(times("_amount", "_views")), F.lit(0)), 2).alias("total_doacoes"),
     )
     return sort_by(totals, "total_doacoes desc", "nome_streamer").limit(k)
 
@@ -178,8 +180,8 @@ def active_viewers(t: Tables) -> DataFrame:
 
 
 def distinct_viewers(t: Tables) -> DataFrame:
-    """Viewers counted once."""
-    return t["fato_visualizacoes"].agg(F.count_distinct("sk_viewer").alias("viewers_distintos_total"))
+    """Viewers counted once; the unknown member is none."""
+    return t["fato_visualizacoes"].where("sk_viewer <> -1").agg(F.count_distinct("sk_viewer").alias("viewers_distintos_total"))
 
 
 def viewers_by_platform(t: Tables) -> DataFrame:

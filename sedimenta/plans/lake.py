@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 from sedimenta.operators.audit import EXTRACTION_DATE, stamp
 from sedimenta.operators.dimensional import has_unknown_key
 from sedimenta.operators.quality import (
-    REASON,
+    any_broken,
     clean_rows,
     deduplicate,
-    evaluate_quality,
-    quarantined_rows,
+    rejected_rows,
     standardize,
 )
 from sedimenta.plans import marts, star
@@ -127,10 +126,11 @@ class Lake(Mapping):
         """
         silver = self.build(name)
         seen = Observation()
-        counted = evaluate_quality(self._typed(name), self.specs[name]).observe(
-            seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col(REASON).isNotNull()).alias("rejected")
+        spec = self.specs[name]
+        counted = self._typed(name).observe(
+            seen, F.count(F.lit(1)).alias("read"), F.count_if(any_broken(spec)).alias("rejected")
         )
-        write_table(stamp(quarantined_rows(counted), "silver"), quarantine_path(self.root, name), self.fmt)
+        write_table(stamp(rejected_rows(counted, spec), "silver"), quarantine_path(self.root, name), self.fmt)
         read, rejected = seen.get["read"], seen.get["rejected"]
         return Written("silver", name, silver.rows, read, rejected, read - rejected - silver.rows)
 

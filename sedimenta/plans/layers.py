@@ -8,10 +8,10 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.operators.audit import stamp_bronze
+from sedimenta.operators.audit import EXTRACTION_DATE, stamp_bronze
 from sedimenta.plans import marts, star
 from sedimenta.plans.lake import Lake, Written
-from sedimenta.plans.sizing import size_shuffles
+from sedimenta.plans.sizing import kept_shuffles, size_shuffles
 from sedimenta.plans.specs import SPECS, TableSpec, select_names
 from sedimenta.sources.jdbc import export_jdbc
 from sedimenta.sources.landing import discover_landing, landing_path, read_landing_csv, write_landing
@@ -36,12 +36,21 @@ def load_bronze(
 
 
 def landed_tables(spark: SparkSession, root: str, day: str, tables: list[str]) -> list[str]:
-    """Those of ``tables`` with files for ``day``; a day without any is an error."""
+    """``tables``, each of which has files for ``day``: one that has not landed is an error."""
     found = discover_landing(spark, f"{root}/landing", day, tables).select("tabela").distinct()
     names = {row["tabela"] for row in found.collect()}
-    if not names:
-        raise FileNotFoundError(f"nothing landed for {day}")
-    return select_names(tables, list(names))
+    missing = [name for name in tables if name not in names]
+    if missing:
+        raise FileNotFoundError(f"nothing landed for {day}: {', '.join(missing)}")
+    return tables
+
+
+def _of_day(lake: Lake, name: str, day: str) -> None:
+    """A bronze table of another day would give a mixed result: that is an error."""
+    bronze = read_table(lake.spark, lake.root, "bronze", name, drop_audit=False, fmt=lake.fmt)
+    other = bronze.where(~F.col(EXTRACTION_DATE).eqNullSafe(F.lit(day))).select(EXTRACTION_DATE).first()
+    if other is not None:
+        raise ValueError(f"bronze {name} is of {other[0]}, not of {day}")
 
 
 def run_layers(
@@ -60,6 +69,8 @@ def run_layers(
 ) -> DataFrame:
     """Runs the stages in order under ``root`` and gives the log, which is also kept in ``_run_log``.
 
+    Only ``tables``, ``objects`` and ``mart_names`` are written; what else they are built on is read as stored, and
+    is an error if it is not there or, in bronze, of another day. The session's shuffle width is put back at the end.
     Tables of a stage are independent of one another and run ``at_once`` at a time. ``export`` is
     called for each mart in the last stage (see ``jdbc_export``).
     """
@@ -79,35 +90,41 @@ def run_layers(
         )
 
     try:
-        if "landing" in stages:
-            side_by_side(lambda name: write_landing(source(name), f"{root}/landing", name, day), tables)
-            for name in tables:
-                log.append(("landing", name, "overwrite", None, None, None, None, None))
-        if "bronze" in stages:
-            names = landed_tables(spark, root, day, tables)
-            for name, rows in zip(names, side_by_side(lambda n: load_bronze(spark, root, n, day, fmt), names)):
-                note("bronze", Written("bronze", name, rows))
-        if "silver" in stages:
-            size_shuffles(spark, f"{root}/bronze")
-            for done in side_by_side(lake.write_quarantine, tables):
-                note("silver", done)
-        if "star" in stages:
-            _reuse(lake, star.needed(objects)[0], stages, "silver")
-            size_shuffles(spark, f"{root}/silver")
-            for group in (star.DIMENSIONS, ("fato_transmissoes",), star.FACTS):
-                lake.build_all([name for name in objects if name in group], at_once)
-            for name in objects:
-                note("star", lake.build(name))
-        if "marts" in stages:
-            _reuse(lake, [n for m in mart_names for n in marts.INPUTS[m]], stages, "star")
-            for done in lake.build_all(mart_names, at_once):
-                note("marts", done)
-        if "export" in stages:
-            if export is None:
-                raise ValueError("the export stage needs an export target")
-            for name in mart_names:
-                export(name, read_table(spark, root, "gold", name, fmt=fmt))
-                log.append(("export", name, "truncate", None, None, None, None, None))
+        with kept_shuffles(spark):
+            if "landing" in stages:
+                for name, rows in zip(tables, side_by_side(lambda n: _land(source(n), root, n, day), tables)):
+                    note("landing", Written("landing", name, rows))
+            if "bronze" in stages:
+                names = landed_tables(spark, root, day, tables)
+                for name, rows in zip(names, side_by_side(lambda n: load_bronze(spark, root, n, day, fmt), names)):
+                    note("bronze", Written("bronze", name, rows))
+            if "silver" in stages:
+                for name in tables:
+                    _of_day(lake, name, day)
+                size_shuffles(spark, f"{root}/bronze")
+                for done in side_by_side(lake.write_quarantine, tables):
+                    note("silver", done)
+            if "star" in stages:
+                silver, gold = star.needed(objects)
+                _reuse(lake, [n for n in silver if "silver" not in stages or n not in tables])
+                _reuse(lake, [n for n in gold if n not in objects])
+                size_shuffles(spark, f"{root}/silver")
+                for group in (star.DIMENSIONS, ("fato_transmissoes",), star.FACTS):
+                    lake.build_all([name for name in objects if name in group], at_once)
+                for name in objects:
+                    note("star", lake.build(name))
+            if "marts" in stages:
+                inputs = [n for m in mart_names for n in marts.INPUTS[m]]
+                _reuse(lake, [n for n in inputs if "star" not in stages or n not in objects])
+                for done in lake.build_all(mart_names, at_once):
+                    note("marts", done)
+            if "export" in stages:
+                if export is None:
+                    raise ValueError("the export stage needs an export target")
+                for name in mart_names:
+                    mart = read_table(spark, root, "gold", name, fmt=fmt)
+                    export(name, mart)
+                    note("export", Written("export", name, mart.count()), "truncate")
     finally:
         # What was done before a failure is on record too.
         run_log = spark.createDataFrame(log, LOG_SCHEMA).withColumn("run_at", F.current_timestamp())
@@ -115,12 +132,19 @@ def run_layers(
     return run_log
 
 
-def _reuse(lake: Lake, names: list[str], stages: list[str], stage: str) -> None:
-    """A run that starts at a later stage takes the stored tables as they are."""
-    if stage not in stages:
-        for name in names:
+def _land(df: DataFrame, root: str, name: str, day: str) -> int:
+    """Writes one table's landing files; gives the rows written."""
+    seen = Observation()
+    write_landing(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{root}/landing", name, day)
+    return seen.get["rows"]
+
+
+def _reuse(lake: Lake, names: list[str]) -> None:
+    """What a run was not asked to write is taken as it is stored."""
+    for name in names:
+        if name not in lake.written:
             stored = read_table(lake.spark, lake.root, lake.layer(name), name, fmt=lake.fmt)
-            lake.written.setdefault(name, Written(lake.layer(name), name, stored.count()))
+            lake.written[name] = Written(lake.layer(name), name, stored.count())
 
 
 def jdbc_export(url: str, schema: str, **options: str) -> Callable[[str, DataFrame], None]:

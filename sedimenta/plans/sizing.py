@@ -2,32 +2,51 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 INITIAL = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 BYTES_PER_PARTITION = 256 << 20
-MOST_PARTITIONS = 32_768
 
 
 def partitions_for(data_bytes: int) -> int:
-    return min(-(-data_bytes // BYTES_PER_PARTITION), MOST_PARTITIONS)
+    return -(-data_bytes // BYTES_PER_PARTITION)
 
 
 def stored_bytes(spark: SparkSession, folder: str) -> int:
-    """Bytes of all files under ``folder``, as its file system sums them up."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.getContentSummary(path).getLength()
+    """Bytes of all files under ``folder``, from a listing that reads none of them."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """Partitions with which this session's shuffles start."""
+    return int(spark.conf.get(INITIAL, None) or spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def size_shuffles(spark: SparkSession, folder: str) -> None:
     """Makes shuffles of this session start wide enough for the data under ``folder``.
 
-    It only ever widens: adaptive execution merges partitions that turn out small, but cannot start
-    with more than it is given. So a session that goes from one folder to a larger one keeps up.
+    It only ever widens: adaptive execution merges partitions that turn out small, but cannot start with more than it is
+    given. It is for sessions that belong to the caller, such as a registered query's; library calls use
+    ``kept_shuffles`` around it.
     """
-    default = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    current = int(spark.conf.get(INITIAL, None) or default)
-    wanted = max(partitions_for(stored_bytes(spark, folder)), default)
-    if wanted > current:
+    wanted = partitions_for(stored_bytes(spark, folder))
+    if wanted > shuffle_width(spark):
         spark.conf.set(INITIAL, str(wanted))
+
+
+@contextmanager
+def kept_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Puts the session's shuffle width back at the end."""
+    before = spark.conf.get(INITIAL, None)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(INITIAL)
+        else:
+            spark.conf.set(INITIAL, before)

@@ -7,23 +7,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import types as T
 
 
-KINDS = {
-    "int": T.IntegerType(),
-    "bigint": T.LongType(),
-    "string": T.StringType(),
-    "boolean": T.BooleanType(),
-    "date": T.DateType(),
-    "timestamp": T.TimestampType(),
-    "timestamp_ntz": T.TimestampNTZType(),
-}
-
-
-def data_type(kind: str) -> T.DataType:
-    """A type by its SQL name; specs can be read before there is a session."""
-    if kind.startswith("decimal("):
-        precision, scale = kind.removeprefix("decimal(").removesuffix(")").split(",")
-        return T.DecimalType(int(precision), int(scale))
-    return KINDS[kind]
+INT, LONG, TEXT, FLAG = T.IntegerType(), T.LongType(), T.StringType(), T.BooleanType()
+DATE, TIME, ZONELESS, MONEY = T.DateType(), T.TimestampType(), T.TimestampNTZType(), T.DecimalType(8, 2)
 
 
 @dataclass(frozen=True)
@@ -34,78 +19,121 @@ class TableSpec:
     """
 
     name: str
-    schema: str
+    columns: dict[str, T.DataType]
     key: str
     required: tuple[str, ...] = ()
     allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
     ordered: tuple[tuple[str, str], ...] = ()
 
-    @property
-    def columns(self) -> dict[str, T.DataType]:
-        return {name: data_type(kind) for name, kind in self.column_kinds.items()}
-
-    @property
-    def column_kinds(self) -> dict[str, str]:
-        return dict(column.split(" ") for column in self.schema.split(", "))
-
 
 # The source tables' columns, types, keys and rules.
 PLATFORM_TABLES = (
     TableSpec(
         "plataformas",
-        "id_plataforma int, nome string",
+        {
+            "id_plataforma": INT,
+            "nome": TEXT,
+        },
         key="id_plataforma",
         required=("nome",),
     ),
     TableSpec(
         "jogos",
-        "id_jogo int, nome string, desenvolvedor string, ano_lancamento int, ativo boolean",
+        {
+            "id_jogo": INT,
+            "nome": TEXT,
+            "desenvolvedor": TEXT,
+            "ano_lancamento": INT,
+            "ativo": FLAG,
+        },
         key="id_jogo",
         required=("nome",),
     ),
     TableSpec(
         "streamers",
-        "id_streamer int, nome string, pais string, data_cadastro date, id_plataforma int",
+        {
+            "id_streamer": INT,
+            "nome": TEXT,
+            "pais": TEXT,
+            "data_cadastro": DATE,
+            "id_plataforma": INT,
+        },
         key="id_streamer",
         required=("nome", "data_cadastro"),
     ),
     TableSpec(
         "viewers",
-        "id_viewer int, nome string, pais string, data_cadastro date",
+        {
+            "id_viewer": INT,
+            "nome": TEXT,
+            "pais": TEXT,
+            "data_cadastro": DATE,
+        },
         key="id_viewer",
         required=("nome", "data_cadastro"),
     ),
     TableSpec(
         "emotes",
-        "id_emote int, nome string, id_streamer int, disponivel_para string",
+        {
+            "id_emote": INT,
+            "nome": TEXT,
+            "id_streamer": INT,
+            "disponivel_para": TEXT,
+        },
         key="id_emote",
         required=("nome",),
         allowed={"disponivel_para": ("gratis", "assinante")},
     ),
     TableSpec(
         "transmissoes",
-        "id_transmissao int, id_streamer int, id_jogo int, data_inicio timestamp, data_fim timestamp, pico_viewers int",
+        {
+            "id_transmissao": INT,
+            "id_streamer": INT,
+            "id_jogo": INT,
+            "data_inicio": TIME,
+            "data_fim": TIME,
+            "pico_viewers": INT,
+        },
         key="id_transmissao",
         required=("data_inicio", "data_fim"),
         ordered=(("data_fim", "data_inicio"),),
     ),
     TableSpec(
         "visualizacoes",
-        "id_visualizacao int, id_viewer int, id_transmissao int, minutos_assistidos int, data_hora timestamp",
+        {
+            "id_visualizacao": INT,
+            "id_viewer": INT,
+            "id_transmissao": INT,
+            "minutos_assistidos": INT,
+            "data_hora": TIME,
+        },
         key="id_visualizacao",
         required=("data_hora",),
     ),
     TableSpec(
         "follows",
-        "id_follow int, id_viewer int, id_streamer int, data_follow date, data_unfollow date",
+        {
+            "id_follow": INT,
+            "id_viewer": INT,
+            "id_streamer": INT,
+            "data_follow": DATE,
+            "data_unfollow": DATE,
+        },
         key="id_follow",
         required=("data_follow",),
         ordered=(("data_unfollow", "data_follow"),),
     ),
     TableSpec(
         "assinaturas",
-        "id_assinatura int, id_viewer int, id_streamer int, tipo string, data_inicio date, data_fim date, "
-        "valor_mensal decimal(8,2)",
+        {
+            "id_assinatura": INT,
+            "id_viewer": INT,
+            "id_streamer": INT,
+            "tipo": TEXT,
+            "data_inicio": DATE,
+            "data_fim": DATE,
+            "valor_mensal": MONEY,
+        },
         key="id_assinatura",
         required=("data_inicio",),
         allowed={"tipo": ("gratis", "tier1", "tier2", "tier3")},
@@ -113,26 +141,51 @@ PLATFORM_TABLES = (
     ),
     TableSpec(
         "doacoes",
-        "id_doacao int, id_viewer int, id_streamer int, id_transmissao int, valor decimal(8,2), data_hora timestamp",
+        {
+            "id_doacao": INT,
+            "id_viewer": INT,
+            "id_streamer": INT,
+            "id_transmissao": INT,
+            "valor": MONEY,
+            "data_hora": TIME,
+        },
         key="id_doacao",
         required=("valor", "data_hora"),
     ),
     TableSpec(
         "clips",
-        "id_clip int, id_transmissao int, id_viewer int, visualizacoes int, data_criacao timestamp",
+        {
+            "id_clip": INT,
+            "id_transmissao": INT,
+            "id_viewer": INT,
+            "visualizacoes": INT,
+            "data_criacao": TIME,
+        },
         key="id_clip",
         required=("data_criacao",),
     ),
     TableSpec(
         "raids",
-        "id_raid int, id_streamer_origem int, id_streamer_destino int, id_transmissao int, viewers_enviados int, "
-        "data_hora timestamp",
+        {
+            "id_raid": INT,
+            "id_streamer_origem": INT,
+            "id_streamer_destino": INT,
+            "id_transmissao": INT,
+            "viewers_enviados": INT,
+            "data_hora": TIME,
+        },
         key="id_raid",
         required=("data_hora",),
     ),
     TableSpec(
         "moderadores",
-        "id_moderador int, id_viewer int, id_streamer int, data_inicio date, data_fim date",
+        {
+            "id_moderador": INT,
+            "id_viewer": INT,
+            "id_streamer": INT,
+            "data_inicio": DATE,
+            "data_fim": DATE,
+        },
         key="id_moderador",
         required=("data_inicio",),
         ordered=(("data_fim", "data_inicio"),),
@@ -148,14 +201,12 @@ def wide(spec: TableSpec) -> TableSpec:
     A 32-bit id overflows past two billion rows, and source timestamps carry no zone, so this is
     the form to use for large loads: ids stay whole and no value depends on the session time zone.
     """
-    parts = []
-    for name, kind in spec.column_kinds.items():
-        if name.startswith("id_") and kind == "int":
-            kind = "bigint"
-        elif kind == "timestamp":
-            kind = "timestamp_ntz"
-        parts.append(f"{name} {kind}")
-    return replace(spec, schema=", ".join(parts))
+    columns = {}
+    for name, kind in spec.columns.items():
+        if name.startswith("id_") and kind == INT:
+            kind = LONG
+        columns[name] = ZONELESS if kind == TIME else kind
+    return replace(spec, columns=columns)
 
 
 WIDE_SPECS: dict[str, TableSpec] = {name: wide(spec) for name, spec in SPECS.items()}

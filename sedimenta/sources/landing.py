@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.quality import as_bronze
@@ -17,10 +17,12 @@ def landing_path(root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA)
 def write_landing(df: DataFrame, root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA) -> str:
     """All columns as text with a header; quotes inside a value are doubled, NULL and '' are both empty.
 
-    A rerun for the same day replaces the folder. Readers see it only once the write is committed.
+    Line breaks inside values are written as backslash and letter (and a backslash as backslash and s), so that a row is
+    a line and files can be split between tasks; ``read_landing_csv`` turns them back. A rerun for the same day replaces the folder. Readers see it only once the write is committed.
     """
     path = landing_path(root, table, day, schema)
-    as_bronze(df).write.mode("overwrite").csv(
+    text = as_bronze(df)
+    text.select(*[escaped(F.col(name)).alias(name) for name in text.columns]).write.mode("overwrite").csv(
         path,
         header=True,
         escape='"',
@@ -31,13 +33,34 @@ def write_landing(df: DataFrame, root: str, table: str, day: str, schema: str =
     return path
 
 
-def read_landing_csv(spark: SparkSession, path: str | list[str], infer: bool = False, multi_line: bool = False) -> DataFrame:
+def escaped(text: Column) -> Column:
+    """Line breaks and backslashes as a backslash and a letter."""
+    return F.replace(F.replace(F.replace(text, *_pair("\\", "\\s")), *_pair("\n", "\\n")), *_pair("\r", "\\r"))
+
+
+def unescaped(text: Column) -> Column:
+    """What ``escaped`` was given: backslashes come last, so none is taken for the beginning of a line break."""
+    plain = F.replace(F.replace(F.replace(text, *_pair("\\n", "\n")), *_pair("\\r", "\r")), *_pair("\\s", "\\"))
+    return F.when(F.contains(text, F.lit("\\")), plain).otherwise(text)
+
+
+def _pair(search: str, replacement: str) -> tuple[Column, Column]:
+    return F.lit(search), F.lit(replacement)
+
+
+def read_landing_csv(
+    spark: SparkSession, path: str | list[str], infer: bool = False, multi_line: bool = False, escapes: bool = True
+) -> DataFrame:
     """CSV with a header, every column a string, or with types inferred.
 
-    ``multi_line`` accepts line breaks inside quoted values, at the price that a file can no longer
-    be split between tasks; values without line breaks do not need it.
+    ``escapes`` turns back what ``write_landing`` escaped. For files of other writers it can be switched off;
+    ``multi_line`` then accepts line breaks inside quoted values, at the price that a file can no longer be split
+    between tasks.
     """
-    return spark.read.csv(path, header=True, escape='"', inferSchema=infer, multiLine=multi_line)
+    rows = spark.read.csv(path, header=True, escape='"', inferSchema=infer, multiLine=multi_line)
+    if not escapes:
+        return rows
+    return rows.select(*[unescaped(rows[name]).alias(name) if kind == "string" else rows[name] for name, kind in rows.dtypes])
 
 
 def table_name(path):

@@ -54,6 +54,12 @@ class RetailSource:
             _next_id("n_regionkey", "id_plataforma"),
         )
 
+    def _parent(self, table: str, key, out: str):
+        """Ids of a table's rows, counted in the plan: each fourth child has the first one, the others are spread over
+        all of them, and about one in 17 lies beyond the last."""
+        rows = self.read(table).agg((F.count("*") + F.floor(F.count("*") / 16) + 1).alias("n")).scalar()
+        return F.when(key % 4 == 0, F.lit(1).cast("long")).otherwise((key % rows + 1).cast("long")).alias(out)
+
     def _viewers(self) -> DataFrame:
         customer = self.read("customer").join(self.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         return customer.select(
@@ -68,7 +74,7 @@ class RetailSource:
         return self._events("error").select(
             _next_id("event_id", "id_emote"),
             F.col("event_type").alias("nome"),
-            _cycled("event_id", 12, "id_streamer"),
+            self._parent("supplier", F.col("event_id"), "id_streamer"),
             F.when(turn == 0, " Gratis ").when(turn == 1, "assinante").otherwise("vip").alias("disponivel_para"),
         )
 
@@ -113,7 +119,7 @@ class RetailSource:
         return self._events("signup").select(
             _next_id("event_id", "id_follow"),
             _next_id("user_id", "id_viewer"),
-            _cycled("event_id", 12, "id_streamer"),
+            self._parent("supplier", F.col("event_id"), "id_streamer"),
             day.alias("data_follow"),
             F.when(F.col("event_id") % 5 == 0, F.date_add(day, shift)).alias("data_unfollow"),
         )
@@ -153,7 +159,7 @@ class RetailSource:
     def _clips(self) -> DataFrame:
         return self._events("view").select(
             _next_id("event_id", "id_clip"),
-            _cycled("event_id", 1500, "id_transmissao"),
+            self._parent("orders", F.col("event_id"), "id_transmissao"),
             _next_id("user_id", "id_viewer"),
             F.floor("value").cast("int").alias("visualizacoes"),
             F.col("ts").alias("data_criacao"),
@@ -162,9 +168,9 @@ class RetailSource:
     def _raids(self) -> DataFrame:
         return self._events("click").select(
             _next_id("event_id", "id_raid"),
-            _cycled("event_id", 12, "id_streamer_origem"),
-            ((F.col("event_id") + 5) % 12 + 1).alias("id_streamer_destino"),
-            _cycled("event_id", 1500, "id_transmissao"),
+            self._parent("supplier", F.col("event_id"), "id_streamer_origem"),
+            self._parent("supplier", F.col("event_id") + 5, "id_streamer_destino"),
+            self._parent("orders", F.col("event_id"), "id_transmissao"),
             F.floor("value").cast("int").alias("viewers_enviados"),
             F.col("ts").alias("data_hora"),
         )
@@ -175,7 +181,7 @@ class RetailSource:
         return self._events("purchase").select(
             _next_id("event_id", "id_moderador"),
             _next_id("user_id", "id_viewer"),
-            _cycled("event_id", 12, "id_streamer"),
+            self._parent("supplier", F.col("event_id"), "id_streamer"),
             day.alias("data_inicio"),
             F.when(F.col("event_id") % 4 == 0, F.date_add(day, shift)).alias("data_fim"),
         )
@@ -186,9 +192,5 @@ def _next_id(name: str, out: str):
     return (F.col(name).cast("long") + 1).alias(out)
 
 
-def _cycled(name: str, n: int, out: str):
-    return (F.col(name) % n + 1).alias(out)
-
-
 def _joined_on(key: str):
     return F.date_add(F.lit(DAY_ZERO).cast("date"), (F.col(key) % 365).cast("int")).alias("data_cadastro")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,19 +24,61 @@ def quarantine_path(root: str, name: str) -> str:
 def write_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
 ) -> None:
-    """Replaces the table, its schema included."""
+    """Replaces the table, its schema included.
+
+    Files are written beside the table and take its place once all are there: a write that fails leaves the table as it
+    was, and readers see the old one until then. The old one is kept until the next write has succeeded.
+    """
     writer = df.write.format(fmt).mode("overwrite")
-    if fmt == "delta":
-        writer = writer.option("overwriteSchema", "true")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if fmt == "delta":
+        writer.option("overwriteSchema", "true").save(path)
+        return
+    fresh = _beside(path, f"_writing-{uuid.uuid4().hex}")
+    try:
+        writer.save(fresh)
+        _take_place(df.sparkSession, fresh, path)
+    finally:
+        files, (left,) = _files(df.sparkSession, fresh)
+        files.delete(left, True)
+
+
+def _beside(path: str, label: str) -> str:
+    """A sibling that listings of the layer leave out."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/{label}-{name}"
+
+
+def _files(spark: SparkSession, *paths: str):
+    """The paths' file system, and the paths as it takes them."""
+    own = [spark._jvm.org.apache.hadoop.fs.Path(path) for path in paths]
+    return own[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own
+
+
+def _take_place(spark: SparkSession, fresh: str, path: str) -> None:
+    files, (new, current, previous) = _files(spark, fresh, path, _beside(path, "_previous"))
+    if files.exists(current):
+        files.delete(previous, True)
+        if not files.rename(current, previous):
+            raise OSError(f"{path} cannot be replaced")
+    if not files.rename(new, current):
+        files.rename(previous, current)
+        raise OSError(f"{path} cannot be written")
+
+
+def _standing(spark: SparkSession, path: str) -> str:
+    """The table's place, or where the one before stands if a replacement was cut short between its two moves."""
+    before = _beside(path, "_previous")
+    files, (current, previous) = _files(spark, path, before)
+    return before if not files.exists(current) and files.exists(previous) else path
 
 
 def read_table(
     spark: SparkSession, root: str, layer: str, name: str, drop_audit: bool = True, fmt: str = "parquet"
 ) -> DataFrame:
-    df = spark.read.format(fmt).load(table_path(root, layer, name))
+    path = table_path(root, layer, name)
+    df = spark.read.format(fmt).load(path if fmt == "delta" else _standing(spark, path))
     return without_audit(df, layer) if drop_audit else df
 
 

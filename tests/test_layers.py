@@ -248,7 +248,7 @@ def test_shuffles_start_as_wide_as_the_data(spark, folder, monkeypatch):
         spark.range(n).coalesce(1).write.parquet(f"{folder}/{n}")
     small, large = f"{folder}/1000", f"{folder}/100000"
     assert 1_000 < sizing.stored_bytes(spark, small) < sizing.stored_bytes(spark, large)
-    assert [sizing.partitions_for(n) for n in (0, 1, 1 << 30, 100 << 40)] == [0, 1, 4, sizing.MOST_PARTITIONS]
+    assert [sizing.partitions_for(n) for n in (0, 1, 1 << 30, 100 << 40)] == [0, 1, 4, 409_600]
     sizing.size_shuffles(spark, large)
     assert spark.conf.get(sizing.INITIAL, None) is None
     monkeypatch.setattr(sizing, "BYTES_PER_PARTITION", 100)

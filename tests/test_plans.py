@@ -2,8 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as contract
-from checks.queries import bronze_text, lake_of
+from checks.queries import bronze_text, lake_of, registered
 from compare import DATA
 from sedimenta.operators import quality
 from sedimenta.plans import star
@@ -11,7 +10,7 @@ from sedimenta.plans.specs import WIDE_SPECS
 from sedimenta.sources.retail import RetailSource
 
 FOLDER = f"{DATA}/sf0.001"
-QUERIES = contract.queries()
+QUERIES = registered()
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas", "MapPartitions", "ExistingRDD")
 
 

@@ -40,7 +40,7 @@ def test_decimals_and_dates(spark):
 
 SPEC = TableSpec(
     "exemplo",
-    "id int, nome string, tipo string, inicio date, fim date",
+    {"id": T.IntegerType(), "nome": T.StringType(), "tipo": T.StringType(), "inicio": T.DateType(), "fim": T.DateType()},
     key="id",
     required=("nome", "inicio"),
     allowed={"tipo": ("a", "b")},
