@@ -136,29 +136,36 @@ def estimate(patterns: dict[str, int], rounds: int = ROUNDS) -> LabelModel:
     return LabelModel(float(prior), tables)
 
 
-def features(text: bytes, found: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets and shares: n-grams share one unit per kind, each stepped measure has one."""
-    bucket, share = [], []
+def _grams(text: bytes) -> Iterator[list[np.ndarray]]:
+    """Buckets of the n-grams of a text's bytes, and of their classes, block by block."""
     for salt, size, stream in ((1, 4, text), (2, 5, text.translate(_CLASSES))):
         codes = np.frombuffer(stream, np.uint8)
-        parts = []
-        for at in range(0, max(len(codes) - size + 1, 0), _BLOCK):
+        blocks = []
+        for at in range(0, len(codes) - size + 1, _BLOCK):
             part = codes[at : at + _BLOCK + size - 1].astype(np.uint32)
             mixed = np.full(len(part) - size + 1, salt, np.uint32)
             for k in range(size):
                 mixed = (mixed ^ part[k : k + len(mixed)]) * np.uint32(16777619)
-            parts.append(np.bincount((mixed ^ (mixed >> np.uint32(13))) % np.uint32(BUCKETS), minlength=BUCKETS))
-        if parts:
-            total = np.sum(parts, axis=0)
-            there = np.flatnonzero(total)
-            bucket.append(there)
-            share.append(total[there] / total.sum())
-    steps = [min(int(np.log2(1 + found["words"])), 20)] + [
-        min(int(found[name] * 10), 150) for name, *_ in HEURISTICS[1:]
-    ]
-    bucket.append(np.array([(j * 1009 + step * 31 + 7) * 2654435761 % BUCKETS for j, step in enumerate(steps)]))
-    share.append(np.full(len(steps), 1.0))
-    return np.concatenate(bucket), np.concatenate(share)
+            blocks.append((mixed ^ (mixed >> np.uint32(13))) & np.uint32(BUCKETS - 1))
+        if blocks:
+            yield blocks
+
+
+def _steps(found: dict[str, float]) -> np.ndarray:
+    """A bucket for each measure and the step that it is in."""
+    steps = [min(int(np.log2(1 + found["words"])), 20)] + [min(int(found[name] * 10), 150) for name, *_ in HEURISTICS[1:]]
+    return np.array([(j * 1009 + step * 31 + 7) * 2654435761 % BUCKETS for j, step in enumerate(steps)])
+
+
+def features(text: bytes, found: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and shares: n-grams share one unit per kind, each stepped measure has one."""
+    bucket, share = [], []
+    for blocks in _grams(text):
+        there, n = np.unique(np.concatenate(blocks), return_counts=True)
+        bucket.append(there)
+        share.append(n / n.sum())
+    steps = _steps(found)
+    return np.concatenate([*bucket, steps]), np.concatenate([*share, np.ones(len(steps))])
 
 
 def train(texts: list[bytes], labels: list[float], seed: int = 3) -> tuple[np.ndarray, float]:
@@ -180,8 +187,11 @@ def train(texts: list[bytes], labels: list[float], seed: int = 3) -> tuple[np.nd
 
 
 def score(text: bytes, found: dict[str, float], weights: np.ndarray, bias: float) -> float:
-    bucket, share = features(text, found)
-    return float(1 / (1 + np.exp(-np.clip(weights[bucket] @ share + bias, -30, 30))))
+    """The scorer's chance that a whole text is good: means of the n-grams' weights, and the measures' weights."""
+    z = bias + weights[_steps(found)].sum()
+    for blocks in _grams(text):
+        z += sum(weights[block].sum() for block in blocks) / sum(map(len, blocks))
+    return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
 def voted(docs: DataFrame, text: str = "text", into: str = "votes") -> DataFrame:
