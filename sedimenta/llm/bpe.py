@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,15 @@ class Codec:
         import tiktoken
 
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_lines.splitlines())}
+        self._ranks = ranks
         self._split = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        self._whole = tiktoken.Encoding("piece", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def _whole(self):
+        """For a text that is one match; few tasks ever need it."""
+        import tiktoken
+
+        return tiktoken.Encoding("piece", pat_str=r"(?s).+", mergeable_ranks=self._ranks, special_tokens={})
 
     def encode(self, text: str) -> list[int]:
         if len(text) < LONG_SPACE:
