@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sedimenta.llm.store import fresh_folder, send_package
 
@@ -218,7 +219,6 @@ def _united(begin: np.ndarray, end: np.ndarray) -> list[dict]:
 def _matches(index: DataFrame, phrases: Phrases, slop: int, item_type: T.DataType) -> DataFrame:
     """Documents with matches: their items, exact and near, and the spans of words in exact ones."""
     asked = index.sparkSession.sparkContext.broadcast(phrases)
-    item = item_type.simpleString()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = asked.value
@@ -244,12 +244,16 @@ def _matches(index: DataFrame, phrases: Phrases, slop: int, item_type: T.DataTyp
                     )
             yield pa.RecordBatch.from_pylist(rows, arrow)
 
-    result = T._parse_datatype_string(
-        f"segment long, ordinal int, items array<{item}>, near_items array<{item}>, "
-        "spans array<struct<start: int, stop: int>>"
+    span = T.StructType([T.StructField(name, T.IntegerType()) for name in ("start", "stop")])
+    result = T.StructType(
+        [
+            T.StructField("segment", T.LongType()),
+            T.StructField("ordinal", T.IntegerType()),
+            T.StructField("items", T.ArrayType(item_type)),
+            T.StructField("near_items", T.ArrayType(item_type)),
+            T.StructField("spans", T.ArrayType(span)),
+        ]
     )
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(result)
     return index.select("segment", "starts", "terms", "counts", "gaps").mapInArrow(found, result)
 
