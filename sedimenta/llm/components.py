@@ -8,22 +8,29 @@ from pyspark.sql import functions as F
 from sedimenta.llm.store import stored
 
 
-def _nearest(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.min("v").alias("m"))
+def _with_least(edges: DataFrame, least) -> DataFrame:
+    """``edges`` with ``m``, the smallest of ``u``'s neighbours by the rule ``least``.
+
+    The join is on a key that the aggregate is not dealt by, so that both inputs are plain shuffles: adaptive execution
+    can then split a node with very many neighbours.
+    """
+    key = F.col("u").bitwiseXOR(F.lit(1))
+    found = edges.groupBy("u").agg(F.min("v").alias("m")).select(key.alias("k"), least.alias("m"))
+    return edges.withColumn("k", key).join(found, "k").select("u", "v", "m")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _nearest(both).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    ties = _with_least(both, F.least("u", "m")).where("v > u")
+    return ties.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node's smaller neighbours, and itself, are tied to the smallest of them."""
-    least = _nearest(edges)
-    ties = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return ties.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    ties = _with_least(edges, F.col("m")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    own = edges.groupBy("u").agg(F.min("v").alias("v"))
+    return ties.unionByName(own).distinct()
 
 
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
