@@ -94,7 +94,11 @@ def with_fingerprint(df: DataFrame, text: str = "text", fingerprint: str = "fing
 
     @F.arrow_udf("long")
     def hashed(texts: pa.Array) -> pa.Array:
-        return pa.array(fingerprints(texts.cast(pa.binary()).to_pylist(), words).view(np.int64))
+        # A few texts at a time: a whole batch of them as Python objects would be in memory twice.
+        parts = [
+            fingerprints(texts.slice(at, 256).cast(pa.binary()).to_pylist(), words) for at in range(0, len(texts), 256)
+        ]
+        return pa.array(np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64))
 
     return without(df, fingerprint).withColumn(fingerprint, hashed(df[text]))
 
@@ -270,17 +274,25 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     """``docs`` with one row of each near-duplicate group: the one with the smallest key (NULL last); of repeated rows
     with that key and fingerprint any one. All columns stay.
 
-    Texts move once, next to the small table of what is kept, so a large group does not meet in one task; only where a
-    kept key and fingerprint has several rows are these compared.
+    Fingerprints are taken from the texts, and keys decide what is kept. Texts move once, next to the small table of
+    kept keys, so a large group does not meet in one task; only where a kept key has several rows are their fingerprints
+    taken again and compared.
     """
-    hashed = stored(with_fingerprint(docs, text, "_fingerprint", words), "with-fingerprints")
-    rows = hashed.groupBy(F.col(key).alias("key"), F.col("_fingerprint").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    first = F.min(F.struct(F.isnull("key").alias("last"), "key", "value", "n"))
-    distinct = stored(rows.groupBy("value").agg(first.alias("first")), "first")
+    hashed = with_fingerprint(docs.select(key, text), text, "_value", words)
+    prints = stored(hashed.select(F.col(key).alias("key"), F.col("_value").alias("value")), "fingerprints")
+    first = F.min(F.struct(F.isnull("key").alias("last"), "key", "value"))
+    distinct = stored(prints.groupBy("value").agg(first.alias("first")), "first")
     chosen = distinct.join(groups(distinct.select("value")), "value").groupBy("group").agg(F.min("first").alias("first"))
-    names = [F.col(f"first.{name}").alias(f"_kept_{name}") for name in ("key", "value", "n")]
-    kept = stored(chosen.select(*names), "kept")
-    same = F.col(key).eqNullSafe(F.col("_kept_key")) & (F.col("_fingerprint") == F.col("_kept_value"))
-    alone = hashed.join(kept.where("_kept_n = 1").hint("shuffle_hash"), same, "left_semi")
-    repeated = hashed.join(kept.where("_kept_n > 1"), same, "left_semi").dropDuplicates([key, "_fingerprint"])
-    return alone.unionByName(repeated).drop("_fingerprint")
+    counts = prints.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    kept = stored(
+        chosen.select(F.col("first.key").alias("_kept"), F.col("first.value").alias("_kept_value"))
+        .join(counts, F.col("_kept").eqNullSafe(F.col("_key")))
+        .drop("_key"),
+        "kept",
+    )
+    same = F.col(key).eqNullSafe(F.col("_kept"))
+    alone = docs.join(kept.where("_rows = 1").hint("shuffle_hash"), same, "left_semi")
+    several = kept.where("_rows > 1")
+    again = with_fingerprint(docs.join(several, same, "left_semi"), text, "_fingerprint", words)
+    repeated = again.join(several, same & (F.col("_fingerprint") == F.col("_kept_value")), "left_semi")
+    return alone.unionByName(repeated.dropDuplicates([key, "_fingerprint"]).drop("_fingerprint"))
