@@ -88,8 +88,13 @@ def fingerprints(texts: list[bytes | None], words: int = WORDS) -> np.ndarray:
     return out
 
 
-def with_fingerprint(df: DataFrame, text: str = "text", fingerprint: str = "fingerprint", words: int = WORDS):
-    """``df`` with the SimHash of each whole text as a signed long; a column of that name is replaced."""
+def with_fingerprint(
+    df: DataFrame, text: str = "text", fingerprint: str = "fingerprint", words: int = WORDS, early: bool = True
+) -> DataFrame:
+    """``df`` with the SimHash of each whole text as a signed long; a column of that name is replaced.
+
+    ``early``: whether the optimizer may hash rows that a join of ``df`` takes out.
+    """
     send_package(df.sparkSession)
 
     @F.arrow_udf("long")
@@ -100,7 +105,7 @@ def with_fingerprint(df: DataFrame, text: str = "text", fingerprint: str = "fing
         ]
         return pa.array(np.concatenate([np.zeros(0, np.uint64), *parts]).view(np.int64))
 
-    return without(df, fingerprint).withColumn(fingerprint, hashed(df[text]))
+    return without(df, fingerprint).withColumn(fingerprint, (hashed if early else hashed.asNondeterministic())(df[text]))
 
 
 class Anchors:
@@ -293,6 +298,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     same = F.col(key).eqNullSafe(F.col("_kept"))
     alone = docs.join(kept.where("_rows = 1").hint("shuffle_hash"), same, "left_semi")
     several = kept.where("_rows > 1")
-    again = with_fingerprint(docs.join(several, same, "left_semi"), text, "_fingerprint", words)
+    if several.isEmpty():  # keys are unique: nothing to tell apart
+        return alone
+    again = with_fingerprint(docs.join(several, same, "left_semi"), text, "_fingerprint", words, early=False)
     repeated = again.join(several, same & (F.col("_fingerprint") == F.col("_kept_value")), "left_semi")
     return alone.unionByName(repeated.dropDuplicates([key, "_fingerprint"]).drop("_fingerprint"))

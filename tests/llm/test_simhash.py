@@ -114,6 +114,14 @@ def test_one_of_each(spark):
     assert sorted((r.doc_id for r in out.collect()), key=str) == sorted((r.component_id for r in found), key=str)
 
 
+def test_one_of_each_with_unique_keys(spark):
+    df = edge.frame(spark, [(i, *row[1:]) for i, row in enumerate(copies())])
+    found = simhash.near_duplicates(df).select("component_id").distinct().collect()
+    got = simhash.one_of_each(df)
+    assert got.columns == df.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.component_id for r in found)
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (9, 8), (8, 7), (7, 6), (6, 5), (3, 3), (4, None)] + [(i, i + 1) for i in range(100, 140)]
     df = spark.createDataFrame(edges, "a long, b long")
