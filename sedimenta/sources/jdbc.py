@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 FETCH_ROWS = 10_000
 BATCH_ROWS = 10_000
+#: Rows of one range when the number of ranges is taken from the table's size.
+RANGE_ROWS = 1_000_000
 
 
 def qualified(table: str, schema: str | None = "public") -> str:
@@ -23,23 +25,28 @@ def read_jdbc_table(
     url: str,
     table: str,
     partition_on: str | None = None,
-    partitions: int = 8,
+    partitions: int | None = None,
     schema: str | None = "public",
     **options: str,
 ) -> DataFrame:
     """A whole table. With ``partition_on`` (an integer key) executors read ranges of it in parallel.
 
-    The database computes the range's ends; one row comes back for them. Rows outside or with a
-    NULL key are still read, by the first and last range.
+    The database computes the range's ends and, unless ``partitions`` is given, counts the rows, of which a range gets
+    about ``RANGE_ROWS``; one row comes back. Rows outside or with a NULL key are still read, by the first and last range.
     """
     name = qualified(table, schema)
     reader = spark.read.format("jdbc").options(url=url, fetchsize=FETCH_ROWS, **options)
     if partition_on is None:
         return reader.option("dbtable", name).load()
-    ends = f'SELECT MIN("{partition_on}") AS lo, MAX("{partition_on}") AS hi FROM {name}'
+    counted = ", COUNT(*) AS n" if partitions is None else ""
+    ends = f'SELECT MIN("{partition_on}") AS lo, MAX("{partition_on}") AS hi{counted} FROM {name}'
     span = reader.option("query", ends).load().first()
     lo, hi = span[0], span[1]
-    if lo is None or partitions < 2 or lo == hi:
+    if lo is None or lo == hi:
+        return reader.option("dbtable", name).load()
+    if partitions is None:
+        partitions = -(-int(span[2]) // RANGE_ROWS)
+    if partitions < 2:
         return reader.option("dbtable", name).load()
     return reader.options(
         dbtable=name,
@@ -51,7 +58,12 @@ def read_jdbc_table(
 
 
 def extract_tables(
-    spark: SparkSession, url: str, keys: dict[str, str], partitions: int = 8, schema: str | None = "public", **options: str
+    spark: SparkSession,
+    url: str,
+    keys: dict[str, str],
+    partitions: int | None = None,
+    schema: str | None = "public",
+    **options: str,
 ) -> dict[str, DataFrame]:
     """One lazy DataFrame per table; ``keys`` maps table names to the integer key to split the read on.
 

@@ -215,6 +215,15 @@ def test_jdbc_reads_ranges_in_parallel():
     assert (read["dbtable"], read["lowerBound"], read["upperBound"], read["numPartitions"]) == ('"public"."doacoes"', 1, 1001, 4)
 
 
+def test_jdbc_ranges_follow_the_counted_rows():
+    for rows, ranges in ((1_000_000, None), (1_000_001, 2), (250_000_000_000, 250_000)):
+        session = Session(ends=(1, 1 << 40, rows))
+        jdbc.read_jdbc_table(session, "jdbc:x", "doacoes", "id")
+        probe, read = session.read.seen
+        assert probe["query"].endswith('COUNT(*) AS n FROM "public"."doacoes"')
+        assert read.get("numPartitions") == ranges
+
+
 def test_jdbc_reads_empty_and_keyless_tables_whole():
     session = Session(ends=(None, None))
     jdbc.read_jdbc_table(session, "jdbc:x", "vendas.doacoes", "id")
