@@ -18,7 +18,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    found = simhash.near_duplicates(table(spark, folder, "documents"), similar=False)
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 

@@ -1,0 +1,207 @@
+"""Near-duplicates by the resemblance of whole texts: Jaccard similarity of five-word shingles, 0.8 or more.
+
+A text's shingles are hashed, and equal sets are united first; what follows works on distinct sets. Candidates share a
+band of minima (MinHash): 24 bands of 5, so a pair of similarity exactly 0.8 is missed with a chance of 0.672^24, 0.007
+%. 64-bit fingerprints are no substitute: at similarity 0.8 two of them differ in 10 bits on average, but in up to 17.
+
+No pair is linked unchecked: the shingles of both texts are compared exactly. First each band's members are compared
+with its smallest one, a star, which unites most of a large group without its pairs. Then, only in bands that still
+hold several components, members of different ones are compared, those first that have the most minima in common.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from sedimenta.llm.components import components
+from sedimenta.llm.store import send_package, stored, without
+
+WORDS = 5
+SIMILARITY = 0.8
+BANDS, ROWS = 24, 5
+#: Share of equal minima (one byte each) from which a pair is compared exactly: four deviations below 0.8.
+ALIKE = 0.65
+#: Members of a band of which all pairs are compared at once, and closest ones per member in the rounds of larger bands.
+FEW = 64
+ROUNDS = (2, 32, None)
+_HASHES = 1 << 13
+_CELLS = 1 << 23
+_DRAWN = np.random.default_rng(42).integers(0, 1 << 63, (3, BANDS * ROWS), np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _set(text: bytes | None) -> np.ndarray:
+    from sedimenta.llm.simhash import hashes
+
+    return np.unique(hashes(text, WORDS))
+
+
+def _minima(values: np.ndarray) -> np.ndarray:
+    out = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(values), _HASHES):
+        mixed = (values[at : at + _HASHES, None] ^ _DRAWN[0]) * _DRAWN[1]
+        np.minimum(out, mixed.min(axis=0), out=out)
+    return out
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two sorted sets have the similarity; two empty ones are equal."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= SIMILARITY * (len(a) + len(b) - both)
+
+
+def with_value(df: DataFrame, text: str, value: str, early: bool = True) -> DataFrame:
+    """``df`` with a long that tells the set of a text's shingles; ``early`` as for fingerprints."""
+    send_package(df.sparkSession)
+
+    @F.arrow_udf("long")
+    def told(texts: pa.Array) -> pa.Array:
+        import xxhash
+
+        found = (xxhash.xxh64_intdigest(_set(text.as_py()).tobytes()) for text in texts.cast(pa.binary()))
+        return pa.array(np.fromiter(found, np.uint64, len(texts)).view(np.int64))
+
+    return without(df, value).withColumn(value, (told if early else told.asNondeterministic())(df[text]))
+
+
+def sketched(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key``, ``value``, ``size`` (of the set), ``bands`` and ``sketch`` (a byte of each minimum), one row per document."""
+    send_package(docs.sparkSession)
+
+    @F.arrow_udf("value long, size int, bands array<long>, sketch binary")
+    def sketch(texts: pa.Array) -> pa.Array:
+        import xxhash
+
+        values, sizes, minima = [], [], [np.zeros((0, BANDS * ROWS), np.uint64)]
+        for text in texts.cast(pa.binary()):
+            found = _set(text.as_py())
+            values.append(xxhash.xxh64_intdigest(found.tobytes()))
+            sizes.append(len(found))
+            minima.append(_minima(found)[None])
+        lowest = np.concatenate(minima)
+        bands = (lowest * _DRAWN[2]).reshape(-1, BANDS, ROWS).sum(axis=2, dtype=np.uint64).view(np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
+        columns = [
+            pa.array(np.array(values, np.uint64).view(np.int64)),
+            pa.array(sizes, pa.int32()),
+            lists,
+            pa.array([row.tobytes() for row in lowest.astype(np.uint8)], pa.binary()),
+        ]
+        return pa.StructArray.from_arrays(columns, ["value", "size", "bands", "sketch"])
+
+    found = docs.select(F.col(key).alias("key"), sketch(docs[text]).alias("found"))
+    return found.select("key", "found.*")
+
+
+def _agreed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``pairs`` whose texts have the similarity, compared exactly."""
+
+    @F.arrow_udf("boolean")
+    def near(left: pa.Array, right: pa.Array) -> pa.Array:
+        out, before, found = [], None, None
+        for a, b in zip(left.cast(pa.binary()), right.cast(pa.binary())):
+            if found is None or not a.equals(before):  # the joined rows of one ``a`` come one after another
+                before, found = a, _set(a.as_py())
+            out.append(similar(found, _set(b.as_py())))
+        return pa.array(out, pa.bool_())
+
+    b = texts.select(F.col("value").alias("b"), F.col("text").alias("text_b"))
+    a = texts.select(F.col("value").alias("a"), F.col("text").alias("text_a"))
+    return pairs.join(b, "b").join(a, "a").where(near("text_a", "text_b")).select("a", "b")
+
+
+def _closest(most: int | None):
+    """For mapInArrow over bands one after another: pairs of members of different components that may be similar."""
+
+    def pairs(values: np.ndarray, group: np.ndarray, size: np.ndarray, sketch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        marks = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(values), -1)
+        names, group, counts = np.unique(group, return_inverse=True, return_counts=True)
+        rows = np.flatnonzero(group != counts.argmax())  # of two components one is not the largest
+        step = max(_CELLS // marks.size, 1)
+        a, b = [values[:0]], [values[:0]]
+        for at in range(0, len(rows), step):
+            some = rows[at : at + step]
+            score = (marks[some, None] == marks).sum(axis=2)
+            smaller, larger = np.minimum(size[some, None], size), np.maximum(size[some, None], size)
+            fits = (score >= ALIKE * marks.shape[1]) & (group[some, None] != group) & (smaller >= SIMILARITY * larger)
+            if most and len(values) > FEW and most < len(values):
+                score = np.where(fits, score, -1)
+                best = np.argpartition(-score, most, axis=1)[:, :most]
+                chosen = np.zeros_like(fits)
+                np.put_along_axis(chosen, best, True, axis=1)
+                fits &= chosen
+            i, j = np.nonzero(fits)
+            a.append(values[some[i]])
+            b.append(values[j])
+        return np.concatenate(a), np.concatenate(b)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+
+        def ready() -> pa.RecordBatch:
+            band = pa.Table.from_batches(waiting)
+            one, two = pairs(*[band[c].to_numpy() for c in ("value", "group", "size")], band["sketch"].to_pylist())
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
+
+        last = None
+        for batch in batches:
+            bucket = batch.column("bucket").to_numpy()
+            edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else []
+            for begin, end in zip(edge, [*edge[1:], len(bucket)]):
+                if waiting and bucket[begin] != last:
+                    yield ready()
+                    waiting.clear()
+                waiting.append(batch.slice(begin, end - begin))
+                last = bucket[begin]
+        if waiting:
+            yield ready()
+
+    return compared
+
+
+def _beside(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows`` joined with one row per band, on a key that ``found`` is not dealt by: a hot band can then be split."""
+    key = F.col("bucket").bitwiseXOR(F.lit(1))
+    return rows.withColumn("k", key).join(found.withColumn("k", key).drop("bucket"), "k").drop("k")
+
+
+def groups(prints: DataFrame, texts_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``value`` and ``group`` of all values in ``prints`` (as of ``sketched``).
+
+    ``texts_of``: for a table of values, ``value`` and ``text``, one text of each.
+    """
+    distinct = stored(prints.drop("key").dropDuplicates(["value"]), "sets")
+    spread = distinct.select("value", F.explode("bands").alias("bucket"))
+    leads = spread.groupBy("bucket").agg(F.min("value").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stored(_beside(spread, leads), "bands")
+    tested = stored(shared.where("value > lead").select(F.col("lead").alias("a"), F.col("value").alias("b")).distinct(), "pairs")
+    texts = stored(texts_of(shared.select("value").distinct()), "texts")
+    links = stored(_agreed(tested, texts), "links")
+    group = components(links, "a", "b")
+    for most in ROUNDS:
+        placed = shared.join(group, shared["value"] == group["node"], "left").select(
+            "bucket", "value", "n", F.coalesce("component", "value").alias("group")
+        )
+        if most != ROUNDS[0]:  # in smaller bands all pairs have been compared
+            placed = placed.where(F.col("n") > FEW)
+        placed = stored(placed, "placed")
+        ends = placed.groupBy("bucket").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low < high")
+        members = _beside(placed, ends.select("bucket")).join(distinct.select("value", "size", "sketch"), "value")
+        found = (
+            members.select("bucket", "value", "group", "size", "sketch")
+            .repartition("bucket")
+            .sortWithinPartitions("bucket")
+            .mapInArrow(_closest(most), "a long, b long")
+        )
+        fresh = stored(found.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        if fresh.isEmpty():
+            continue
+        tested = tested.unionByName(fresh)
+        links = links.unionByName(stored(_agreed(fresh, texts), "links"))
+        group = components(links, "a", "b")
+    joined = distinct.join(group, distinct["value"] == group["node"], "left")
+    return joined.select("value", F.coalesce("component", "value").alias("group"))

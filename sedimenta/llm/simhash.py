@@ -18,9 +18,10 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sedimenta.llm import resemblance
 from sedimenta.llm.components import components
 from sedimenta.llm.store import send_package, stored, without
 
@@ -257,37 +258,66 @@ def groups(values: DataFrame) -> DataFrame:
     return joined.select("value", F.coalesce("component", "value").alias("group"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: bool = True) -> DataFrame:
     """One row per document: its key, ``fingerprint`` (a signed long) and ``component_id``, the smallest key that links
     lead to.
 
-    NULL, empty and blank texts have fingerprint zero, which links like any other. Rows with the same key stay
-    separate. NULL keys count as larger than any; a group of nothing else has a NULL component. Other columns play no
-    part.
+    ``similar``: links are those of ``resemblance``, five words and similarity 0.8 or more, and the long tells the set
+    of shingles. Otherwise they are those of op6's contract, at most ``THRESHOLD`` bits between fingerprints over
+    ``WORDS`` words.
+
+    NULL, empty and blank texts are alike, and link to each other. Rows with the same key stay separate. NULL keys count
+    as larger than any; a group of nothing else has a NULL component. Other columns play no part.
     """
-    hashed = stored(with_fingerprint(docs.select(key, text), text, words=words).drop(text), "fingerprints")
-    distinct = stored(
-        hashed.groupBy(F.col("fingerprint").alias("value")).agg(F.min(key).alias("smallest")), "distinct"
-    )
-    joined = distinct.join(groups(distinct.select("value")), "value")
+    prints, grouped = _linked(docs, key, text, similar)
+    smallest = prints.groupBy("value").agg(F.min("key").alias("smallest"))
+    joined = stored(smallest.join(grouped, "value"), "distinct")
     named = joined.groupBy("group").agg(F.min("smallest").alias("component_id"))
-    of_value = joined.select(F.col("value").alias("fingerprint"), "group").join(named, "group").drop("group")
-    return hashed.join(of_value, "fingerprint").select(key, "fingerprint", "component_id")
+    of_value = joined.select("value", "group").join(named, "group").drop("group")
+    return prints.join(of_value, "value").select(
+        F.col("key").alias(key), F.col("value").alias("fingerprint"), "component_id"
+    )
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: bool = True) -> DataFrame:
     """``docs`` with one row of each near-duplicate group: the one with the smallest key (NULL last); of repeated rows
-    with that key and fingerprint any one. All columns stay.
+    with that key and fingerprint any one. All columns stay; ``similar`` as for ``near_duplicates``."""
+    prints, grouped = _linked(docs, key, text, similar)
+    first = stored(prints.groupBy("value").agg(_first()), "first")
+    chosen = first.join(grouped, "value").groupBy("group").agg(F.min("first").alias("first"))
+    return _rows(docs, key, text, prints, chosen, similar)
+
+
+def _first() -> Column:
+    return F.min(F.struct(F.isnull("key").alias("last"), "key", "value")).alias("first")
+
+
+def _linked(docs: DataFrame, key: str, text: str, similar: bool) -> tuple[DataFrame, DataFrame]:
+    """``key`` and ``value`` of all documents, and ``value`` and ``group`` of all values."""
+    if not similar:
+        hashed = with_fingerprint(docs.select(key, text), text, "_value")
+        prints = stored(hashed.select(F.col(key).alias("key"), F.col("_value").alias("value")), "fingerprints")
+        return prints, groups(stored(prints.select("value").distinct(), "distinct"))
+    prints = stored(resemblance.sketched(docs, key, text), "sketches")
+
+    def texts_of(values: DataFrame) -> DataFrame:
+        chosen = prints.join(values, "value", "left_semi").groupBy("value").agg(_first())
+        rows = _rows(docs.select(key, text), key, text, prints, chosen.select("first"), True)
+        return resemblance.with_value(rows, text, "_value", early=False).select(
+            F.col("_value").alias("value"), F.col(text).alias("text")
+        )
+
+    return prints.select("key", "value"), resemblance.groups(prints, texts_of)
+
+
+def _rows(
+    docs: DataFrame, key: str, text: str, prints: DataFrame, chosen: DataFrame, similar: bool
+) -> DataFrame:
+    """One row of ``docs`` for each ``first`` in ``chosen``: of rows with its key and value any one.
 
-    Fingerprints are taken from the texts, and keys decide what is kept. Texts move once, next to the small table of
-    kept keys, so a large group does not meet in one task; only where a kept key has several rows are their fingerprints
-    taken again and compared.
+    Keys decide what is kept. Texts move once, next to the small table of kept keys, so a large group does not meet in
+    one task; only where a kept key has several rows are their values taken again and compared.
     """
-    hashed = with_fingerprint(docs.select(key, text), text, "_value", words)
-    prints = stored(hashed.select(F.col(key).alias("key"), F.col("_value").alias("value")), "fingerprints")
-    first = F.min(F.struct(F.isnull("key").alias("last"), "key", "value"))
-    distinct = stored(prints.groupBy("value").agg(first.alias("first")), "first")
-    chosen = distinct.join(groups(distinct.select("value")), "value").groupBy("group").agg(F.min("first").alias("first"))
     counts = prints.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
     kept = stored(
         chosen.select(F.col("first.key").alias("_kept"), F.col("first.value").alias("_kept_value"))
@@ -300,6 +330,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     several = kept.where("_rows > 1")
     if several.isEmpty():  # keys are unique: nothing to tell apart
         return alone
-    again = with_fingerprint(docs.join(several, same, "left_semi"), text, "_fingerprint", words, early=False)
+    valued = resemblance.with_value if similar else with_fingerprint
+    again = valued(docs.join(several, same, "left_semi"), text, "_fingerprint", early=False)
     repeated = again.join(several, same & (F.col("_fingerprint") == F.col("_kept_value")), "left_semi")
     return alone.unionByName(repeated.dropDuplicates([key, "_fingerprint"]).drop("_fingerprint"))

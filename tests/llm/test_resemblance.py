@@ -1,0 +1,60 @@
+import random
+
+import pytest
+
+import corpus_pipeline
+import edge
+from sedimenta.llm import resemblance
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+
+
+def near(a, b):
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def changed(text, n, draw):
+    words = text.split()
+    for i in draw.sample(range(len(words)), n):
+        words[i] = f"new{draw.random()}"
+    return " ".join(words)
+
+
+def kept(rows):
+    """The smallest id of each group, by comparing all pairs."""
+    sets, parent = [shingles(row[1]) for row in rows], list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if root(i) != root(j) and near(sets[i], sets[j]):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    least = {}
+    for i, row in enumerate(rows):
+        least[root(i)] = min(least.get(root(i), row[0]), row[0])
+    return sorted(least.values())
+
+
+@pytest.mark.parametrize("few", [resemblance.FEW, 3])
+def test_stage_against_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(resemblance, "FEW", few)
+    draw = random.Random(3)
+    rows = []
+    for i in range(40):  # pairs on both sides of 0.8
+        text = edge.prose(300 + i, draw.randint(150, 400))
+        rows += [(2 * i, text, "en", "a", 1), (2 * i + 1, changed(text, draw.randint(1, 14), draw), "en", "a", 1)]
+    text = edge.prose(7, 200)
+    rows += [(1000 + i, changed(text, 2, draw), "en", "a", 1) for i in range(60)]  # often linked only through others
+    rows += [(2000 + i, changed(text, 7, draw), "en", "a", 1) for i in range(10)]
+    rows += [(3000 + i, text, "en", "a", 1) for i in range(3)] + [(3100 + i, None, None, None, None) for i in range(2)]
+    sets = {row[0]: shingles(row[1]) for row in rows}
+    assert 5 < sum(near(sets[2 * i], sets[2 * i + 1]) for i in range(40)) < 35
+    out = corpus_pipeline.without_near_duplicates(spark, edge.frame(spark, rows), "")
+    assert sorted(row.doc_id for row in out.collect()) == kept(rows)
