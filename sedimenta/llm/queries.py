@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.llm import bpe, chat, decontamination, language, pii, repetition, secret_ledger, sharding, simhash, weak_quality
+from sedimenta.llm import (
+    bpe,
+    chat,
+    decontamination,
+    language,
+    passages,
+    pii,
+    repetition,
+    secret_ledger,
+    sharding,
+    simhash,
+    weak_quality,
+)
 from sedimenta.llm.store import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -139,6 +151,17 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_suffix_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = passages.without_repeats(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def registered() -> dict[str, Query]:
     found = (
         op1_sharding,
@@ -151,5 +174,6 @@ def registered() -> dict[str, Query]:
         op8_weak_quality,
         op9_personal_data,
         op10_byte_bpe,
+        op11_suffix_passages,
     )
     return {query.__name__: query for query in found}
