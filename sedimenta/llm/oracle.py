@@ -93,5 +93,41 @@ LEFT JOIN repeats r ON x.conv_id IS NOT DISTINCT FROM r.conv_id
 """
 
 
+#: Every order counted by itself, all cuts by joins.
+COLLOCATIONS = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM lists GROUP BY lang),
+starts AS (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM lists, (VALUES (1), (2), (3), (4)) AS s(m)),
+f AS (
+    SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, count(*) AS f
+    FROM starts GROUP BY lang, m, phrase HAVING count(*) >= 30
+),
+candidates AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1),
+cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(list_slice(w, 1, k), ' ') AS x, array_to_string(list_slice(w, k + 1, m), ' ') AS y
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates)
+),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.k, p.f AS l, q.f AS r, (2000000::HUGEINT * c.a // (p.f + q.f)::HUGEINT)::BIGINT AS score
+    FROM cuts c JOIN f p ON p.lang = c.lang AND p.phrase = c.x JOIN f q ON q.lang = c.lang AND q.phrase = c.y
+),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+    SELECT lang, a, array_to_string(list_slice(w, i, i + s - 1), ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM candidates WHERE m > 2))
+),
+longer AS (SELECT lang, phrase, max(a) AS b FROM inner_phrases GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM weakest JOIN totals USING (lang) LEFT JOIN longer USING (lang, phrase)
+WHERE b IS NULL OR 100::HUGEINT * b < 80::HUGEINT * a
+QUALIFY rank <= 2000
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_sharding": SHARDS, "op4_chat_windows": CHAT}
+    return {"op1_sharding": SHARDS, "op4_chat_windows": CHAT, "op12_collocations": COLLOCATIONS}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sedimenta.llm import (
     bpe,
     chat,
+    collocations,
     decontamination,
     language,
     passages,
@@ -162,6 +163,10 @@ def op11_suffix_passages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Query]:
     found = (
         op1_sharding,
@@ -175,5 +180,6 @@ def registered() -> dict[str, Query]:
         op9_personal_data,
         op10_byte_bpe,
         op11_suffix_passages,
+        op12_collocations,
     )
     return {query.__name__: query for query in found}
