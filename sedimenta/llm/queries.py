@@ -19,6 +19,7 @@ from sedimenta.llm import (
     secret_ledger,
     sharding,
     simhash,
+    variants,
     weak_quality,
 )
 from sedimenta.llm.store import fresh_folder
@@ -167,6 +168,10 @@ def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(variants.vocabulary(table(spark, folder, "documents"), thinned=97))
+
+
 def registered() -> dict[str, Query]:
     found = (
         op1_sharding,
@@ -181,5 +186,6 @@ def registered() -> dict[str, Query]:
         op10_byte_bpe,
         op11_suffix_passages,
         op12_collocations,
+        op13_spelling_variants,
     )
     return {query.__name__: query for query in found}
