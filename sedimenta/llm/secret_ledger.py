@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm.store import send_package, stored
+from sedimenta.llm.store import send_package, stored, unused
 
 FINDING = "struct<rule: string, kind: string, start: int, stop: int>"
 #: Todo rows (a digest, a path and rule names each) up to which they are broadcast to the texts.
@@ -194,14 +194,11 @@ def redact(docs: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule,
             out.append("".join([*parts, value[at:]]) if value is not None else None)
         return pa.array(out, pa.string())
 
+    own, blob, findings = (unused(docs, label) for label in ("_address", "_blob", "_findings"))
     found = found_in(docs.sparkSession, ledger, rules).select(
-        F.col("blob").alias("_blob"), F.col("findings").alias("_findings")
-    )
-    joined = docs.withColumn("_address", address(text)).join(
-        found.hint("shuffle_hash"), F.col("_address") == F.col("_blob"), "left"
-    )
-    new = masked(F.col(text), F.col("_findings.start"), F.col("_findings.stop"))
-    changed = joined.withColumn("_masked", F.when(F.col("_findings").isNotNull(), new))
-    return changed.select(
-        *[F.coalesce("_masked", F.col(text)).alias(text) if name == text else F.col(name) for name in docs.columns]
+        F.col("blob").alias(blob), F.col("findings").alias(findings)
     )
+    joined = docs.withColumn(own, address(text)).join(found.hint("shuffle_hash"), F.col(own) == F.col(blob), "left")
+    new = masked(F.col(text), F.col(f"{findings}.start"), F.col(f"{findings}.stop"))
+    changed = F.coalesce(F.when(F.col(findings).isNotNull(), new), F.col(text)).alias(text)
+    return joined.select(*[changed if name == text else F.col(name) for name in docs.columns])

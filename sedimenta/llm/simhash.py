@@ -21,9 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sedimenta.llm import resemblance
 from sedimenta.llm.components import components
-from sedimenta.llm.store import send_package, stored, without
+from sedimenta.llm.store import send_package, stored, unused, without
 
 THRESHOLD = 4
 WORDS = 4
@@ -258,18 +257,14 @@ def groups(values: DataFrame) -> DataFrame:
     return joined.select("value", F.coalesce("component", "value").alias("group"))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: bool = True) -> DataFrame:
-    """One row per document: its key, ``fingerprint`` (a signed long) and ``component_id``, the smallest key that links
-    lead to.
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: its key, ``fingerprint`` (a signed long, over runs of ``WORDS`` words) and ``component_id``,
+    the smallest key that links of at most ``THRESHOLD`` bits lead to.
 
-    ``similar``: links are those of ``resemblance``, five words and similarity 0.8 or more, and the long tells the set
-    of shingles. Otherwise they are those of op6's contract, at most ``THRESHOLD`` bits between fingerprints over
-    ``WORDS`` words.
-
-    NULL, empty and blank texts are alike, and link to each other. Rows with the same key stay separate. NULL keys count
-    as larger than any; a group of nothing else has a NULL component. Other columns play no part.
+    NULL, empty and blank texts have the fingerprint zero, and link like any other. Rows with the same key stay separate.
+    NULL keys count as larger than any; a group of nothing else has a NULL component. Other columns play no part.
     """
-    prints, grouped = _linked(docs, key, text, similar)
+    prints, grouped = _linked(docs, key, text)
     smallest = prints.groupBy("value").agg(F.min("key").alias("smallest"))
     joined = stored(smallest.join(grouped, "value"), "distinct")
     named = joined.groupBy("group").agg(F.min("smallest").alias("component_id"))
@@ -279,58 +274,43 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     )
 
 
-def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", similar: bool = True) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: the one with the smallest key (NULL last); of repeated rows
-    with that key and fingerprint any one. All columns stay; ``similar`` as for ``near_duplicates``."""
-    prints, grouped = _linked(docs, key, text, similar)
-    first = stored(prints.groupBy("value").agg(_first()), "first")
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of ``near_duplicates``: the one with the smallest key (NULL last); of repeated
+    rows with that key and fingerprint any one. All columns stay, whatever their names."""
+    prints, grouped = _linked(docs, key, text)
+    first = F.min(F.struct(F.isnull("key").alias("last"), "key", "value")).alias("first")
+    first = stored(prints.groupBy("value").agg(first), "first")
     chosen = first.join(grouped, "value").groupBy("group").agg(F.min("first").alias("first"))
-    return _rows(docs, key, text, prints, chosen, similar)
-
-
-def _first() -> Column:
-    return F.min(F.struct(F.isnull("key").alias("last"), "key", "value")).alias("first")
+    return _rows(docs, key, text, prints, chosen)
 
 
-def _linked(docs: DataFrame, key: str, text: str, similar: bool) -> tuple[DataFrame, DataFrame]:
+def _linked(docs: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
     """``key`` and ``value`` of all documents, and ``value`` and ``group`` of all values."""
-    if not similar:
-        hashed = with_fingerprint(docs.select(key, text), text, "_value")
-        prints = stored(hashed.select(F.col(key).alias("key"), F.col("_value").alias("value")), "fingerprints")
-        return prints, groups(stored(prints.select("value").distinct(), "distinct"))
-    prints = stored(resemblance.sketched(docs, key, text), "sketches")
+    given = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    prints = stored(with_fingerprint(given, "text", "value").select("key", "value"), "fingerprints")
+    return prints, groups(stored(prints.select("value").distinct(), "distinct"))
 
-    def texts_of(values: DataFrame) -> DataFrame:
-        chosen = prints.join(values, "value", "left_semi").groupBy("value").agg(_first())
-        rows = _rows(docs.select(key, text), key, text, prints, chosen.select("first"), True)
-        return resemblance.with_value(rows, text, "_value", early=False).select(
-            F.col("_value").alias("value"), F.col(text).alias("text")
-        )
 
-    return prints.select("key", "value"), resemblance.groups(prints, texts_of)
-
-
-def _rows(
-    docs: DataFrame, key: str, text: str, prints: DataFrame, chosen: DataFrame, similar: bool
-) -> DataFrame:
+def _rows(docs: DataFrame, key: str, text: str, prints: DataFrame, chosen: DataFrame) -> DataFrame:
     """One row of ``docs`` for each ``first`` in ``chosen``: of rows with its key and value any one.
 
     Keys decide what is kept. Texts move once, next to the small table of kept keys, so a large group does not meet in
     one task; only where a kept key has several rows are their values taken again and compared.
     """
-    counts = prints.groupBy(F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    own, kept_key, kept_value = (unused(docs, label) for label in ("_fingerprint", "_kept_key", "_kept_value"))
+    counts = prints.groupBy(F.col("key").alias("of")).agg(F.count(F.lit(1)).alias("rows"))
     kept = stored(
-        chosen.select(F.col("first.key").alias("_kept"), F.col("first.value").alias("_kept_value"))
-        .join(counts, F.col("_kept").eqNullSafe(F.col("_key")))
-        .drop("_key"),
+        chosen.select(F.col("first.key").alias(kept_key), F.col("first.value").alias(kept_value))
+        .join(counts, F.col(kept_key).eqNullSafe(F.col("of")))
+        .drop("of"),
         "kept",
     )
-    same = F.col(key).eqNullSafe(F.col("_kept"))
-    alone = docs.join(kept.where("_rows = 1").hint("shuffle_hash"), same, "left_semi")
-    several = kept.where("_rows > 1")
+    once = kept.where("rows = 1").select(kept_key)
+    alone = docs.join(once.hint("shuffle_hash"), docs[key].eqNullSafe(once[kept_key]), "left_semi")
+    several = kept.where("rows > 1").select(kept_key, kept_value)
     if several.isEmpty():  # keys are unique: nothing to tell apart
         return alone
-    valued = resemblance.with_value if similar else with_fingerprint
-    again = valued(docs.join(several, same, "left_semi"), text, "_fingerprint", early=False)
-    repeated = again.join(several, same & (F.col("_fingerprint") == F.col("_kept_value")), "left_semi")
-    return alone.unionByName(repeated.dropDuplicates([key, "_fingerprint"]).drop("_fingerprint"))
+    same = F.col(key).eqNullSafe(F.col(kept_key))
+    again = with_fingerprint(docs.join(several, same, "left_semi"), text, own, early=False)
+    repeated = again.join(several, same & (F.col(own) == F.col(kept_value)), "left_semi")
+    return alone.unionByName(repeated.dropDuplicates([key, own]).drop(own))

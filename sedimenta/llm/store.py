@@ -31,6 +31,14 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.drop(*[name for name in df.columns if name.lower() in taken])
 
 
+def unused(df: DataFrame, label: str) -> str:
+    """A column name made from ``label`` that ``df`` does not have in any case."""
+    taken = {name.lower() for name in df.columns}
+    while label.lower() in taken:
+        label += "_"
+    return label
+
+
 _sent: set[str] = set()
 _sending = threading.Lock()
 

@@ -10,7 +10,7 @@ FOLDER = f"{DATA}/sf0.001"
 
 def test_registered_by_name():
     names = list(contract.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names
     assert set(oracle.statements()) <= set(queries.registered())
@@ -70,6 +70,20 @@ def test_edge_rows_through_all_stages(spark, tmp_path):
     assert secret_ledger.MASK in masked[50].text and masked[50].n_chars == len(masked[50].text)
 
 
+def test_columns_of_any_name_keep_their_values(spark, tmp_path):
+    """Every name that a stage uses inside, as a column of the user's."""
+    names = "_language _fingerprint _kept_key _kept_value _address _blob _findings _masked _rows _kept value key of rows blob"
+    items = spark.createDataFrame([(1, edge.prose(77, 20))], "item_id long, text string")
+    data = [row for row in edge.rows() + SECRETS if row[0] is not None]
+    df = edge.clashing(edge.frame(spark, data), *names.split())
+    folder = edge.folder_of(df, tmp_path / "in", benchmark=items)
+    done = stages(spark, df, folder)
+    for name, frame in done.items():
+        rows = frame.select(*names.split()).distinct().collect()
+        assert [tuple(row) for row in rows] == [("taken",) * len(names.split())], name
+    assert 50 in {row.doc_id for row in done["secret scans"].collect()}
+
+
 def test_empty_table(spark, tmp_path):
     items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     df = edge.frame(spark, [])
