@@ -11,26 +11,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.llm import bpe, decontamination, language, secret_ledger, simhash
-from sedimenta.llm.store import fresh_folder, stored, without
+from sedimenta.llm.store import fresh_folder, stored, unused
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents of which the language is told with enough certainty; ``lang`` stays as given."""
-    found = language.identify(docs, language.fit(docs), into="_language")
-    return found.where(~F.col("_language.rejected")).drop("_language")
+    told = unused(docs, "_language")
+    found = language.identify(docs, language.fit(docs), into=told)
+    return found.where(~F.col(f"{told}.rejected")).drop(told)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, the one with the smallest id; five words and similarity 0.8 or more link."""
+    """One document of each group, the one with the smallest id; fingerprints of at most 4 different bits link."""
     return simhash.one_of_each(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that are not contaminated, told by the address of their text: ids need not be unique."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    addressed = without(docs, "_address").withColumn("_address", secret_ledger.address("text"))
-    found = decontamination.contamination(addressed, items, key="_address").where("contaminated")
-    return addressed.join(found.select("_address"), "_address", "left_anti").select(*docs.columns)
+    own = unused(docs, "_address")
+    addressed = docs.withColumn(own, secret_ledger.address("text"))
+    found = decontamination.contamination(addressed, items, key=own).where("contaminated")
+    return addressed.join(found.select(own), own, "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
