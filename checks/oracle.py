@@ -545,6 +545,109 @@ FINAL = {
         WHERE sk_plataforma <> -1""",
 }
 
+# What a run makes again after donations have landed anew.
+REMADE = {
+    "bronze doacoes",
+    "silver doacoes",
+    "star dim_tempo",
+    "star fato_doacoes",
+    "marts agg_streamer_visao_geral",
+    "marts agg_receita_mensal",
+    "marts agg_plataforma_resumo",
+}
+
+
+def run_log() -> str:
+    dims = [f"dim_{d}" for d in ("plataforma", "streamer", "viewer", "jogo", "tempo")]
+    facts = [f"fato_{f}" for f in ("transmissoes", "visualizacoes", "doacoes", "assinaturas")]
+    made = [("bronze", t, f"src_{t}") for t in SOURCES] + [("silver", t, f"silver_{t}") for t in SOURCES]
+    made += [("star", t, t) for t in dims + facts] + [("marts", t, t) for t in MARTS if t.startswith("agg_")]
+    return " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, '{name}' AS \"table\", "
+        f"'{'overwrite' if f'{stage} {name}' in REMADE else 'unchanged'}' AS operation, COUNT(*) AS rows FROM {source}"
+        for stage, name, source in made
+    )
+
+
+def types_of(name: str, table: str) -> str:
+    """Columns with their types, in the words of the other engine, and how many values they have."""
+    kind = (
+        "CASE column_type WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' "
+        "ELSE LOWER(column_type) END"
+    )
+    return f"""
+        SELECT '{name}' AS tabela, coluna, {kind} AS tipo, preenchidas
+        FROM (UNPIVOT (SELECT COUNT(COLUMNS(*)) AS "\\0" FROM {table}) ON COLUMNS(*) INTO NAME coluna VALUE preenchidas)
+        JOIN (DESCRIBE SELECT * FROM {table}) ON column_name = coluna"""
+
+
+WATCHED = "FROM fato_visualizacoes JOIN dim_tempo USING (sk_tempo) WHERE sk_viewer <> -1"
+FINAL |= {
+    "quarantine_all": " UNION ALL ".join(
+        f"SELECT '{t}' AS tabela, CAST({key_of(t)} AS BIGINT) AS chave, _motivo_rejeicao AS motivo FROM dq_{t} "
+        "WHERE _motivo_rejeicao IS NOT NULL"
+        for t in SOURCES
+    ),
+    "layer_types": " UNION ALL ".join(
+        [types_of(t, f"silver_{t}") for t in SOURCES]
+        + [types_of(f"dim_{d}", f"dim_{d}") for d in ("plataforma", "streamer", "viewer", "jogo", "tempo")]
+        + [types_of(f"fato_{f}", f"fato_{f}") for f in ("transmissoes", "visualizacoes", "doacoes", "assinaturas")]
+    ),
+    "landing_foreign": """
+        SELECT id_jogo, nome || CASE id_jogo%4 WHEN 0 THEN CHR(10) WHEN 1 THEN 'C:\\new\\run' WHEN 2 THEN '","'
+               ELSE '\\n\\' END || 'fim' AS nome FROM src_jogos""",
+    "run_resumed": run_log(),
+    "dedup_isolated": "SELECT * FROM silver_visualizacoes",
+    "doc_unique_viewers_rollup": f"""
+        SELECT 'streamer_mes' AS nivel, sk_streamer, ano, mes, COUNT(DISTINCT sk_viewer) AS viewers_unicos
+        {WATCHED} AND sk_streamer <> -1 GROUP BY sk_streamer, ano, mes
+        UNION ALL SELECT 'streamer', sk_streamer, NULL, NULL, COUNT(DISTINCT sk_viewer)
+        {WATCHED} AND sk_streamer <> -1 GROUP BY sk_streamer
+        UNION ALL SELECT 'mes', NULL, ano, mes, COUNT(DISTINCT sk_viewer) {WATCHED} GROUP BY ano, mes
+        UNION ALL SELECT 'total', NULL, NULL, NULL, COUNT(DISTINCT sk_viewer) {WATCHED}""",
+    "kpi4_true_viewers_by_platform": """
+        SELECT nome_plataforma, COUNT(DISTINCT sk_viewer) AS viewers_unicos
+        FROM fato_visualizacoes JOIN dim_streamer USING (sk_streamer)
+        WHERE sk_viewer <> -1 AND sk_streamer <> -1 GROUP BY nome_plataforma""",
+    "fato_doacoes_month": "SELECT * REPLACE (CAST(valor AS DOUBLE) AS valor) FROM fato_doacoes WHERE sk_tempo // 100 = 199603",
+    "doc_revenue_quarter": """
+        SELECT sk_streamer, nome_streamer, ano, mes, CAST(COALESCE(SUM(v), 0) AS DOUBLE) AS receita_total
+        FROM (SELECT sk_streamer, sk_tempo, valor AS v FROM fato_doacoes
+              UNION ALL SELECT sk_streamer, sk_tempo, valor_mensal FROM fato_assinaturas)
+        JOIN dim_tempo USING (sk_tempo) JOIN dim_streamer USING (sk_streamer)
+        WHERE sk_streamer <> -1 AND ano = 1996 AND mes <= 3 GROUP BY sk_streamer, nome_streamer, ano, mes""",
+    "fato_visualizacoes_bucketed": "SELECT * FROM fato_visualizacoes",
+    "clustered_scan": """
+        SELECT 'streamer' AS recorte, COUNT(*) AS linhas, CAST(COALESCE(SUM(minutos_assistidos), 0) AS BIGINT) AS minutos
+        FROM fato_visualizacoes WHERE sk_streamer = 3
+        UNION ALL SELECT 'semana', COUNT(*), CAST(COALESCE(SUM(minutos_assistidos), 0) AS BIGINT)
+        FROM fato_visualizacoes WHERE sk_tempo BETWEEN 19960311 AND 19960317""",
+    "rowcount_footer": " UNION ALL ".join(f"SELECT '{t}' AS tabela, COUNT(*) AS linhas FROM silver_{t}" for t in SOURCES)
+    + " UNION ALL SELECT 'TOTAL', CAST(" + " + ".join(f"(SELECT COUNT(*) FROM silver_{t})" for t in SOURCES) + " AS BIGINT)",
+    "fact_date_bounds": " UNION ALL ".join(
+        f"SELECT 'fato_{f}' AS fato, COUNT(*) AS linhas, MIN(sk_tempo) AS min_sk_tempo, MAX(sk_tempo) AS max_sk_tempo "
+        f"FROM fato_{f}"
+        for f in ("transmissoes", "visualizacoes", "doacoes", "assinaturas")
+    ),
+    "sk_by_name": """
+        SELECT id_jogo, nome, ROW_NUMBER() OVER (ORDER BY nome, id_jogo) AS sk
+        FROM (SELECT id_jogo, 'jogo da plataforma: ' || STRING_SPLIT(nome, ' ')[1] AS nome FROM src_jogos)""",
+    "lookup_by_name": """
+        SELECT COALESCE(sk_pais, -1) AS sk_pais, COUNT(*) AS linhas FROM silver_viewers v
+        LEFT JOIN (SELECT pais, ROW_NUMBER() OVER (ORDER BY pais) AS sk_pais
+                   FROM (SELECT DISTINCT pais FROM silver_streamers WHERE pais IS NOT NULL)) c ON c.pais = v.pais
+        GROUP BY 1""",
+    "lookup_by_pair": """
+        SELECT COALESCE(primeira, -1) AS primeira, COUNT(*) AS linhas
+        FROM (SELECT CASE WHEN id_doacao%3=0 THEN hv ELSE id_viewer END AS quem,
+                     CASE WHEN id_doacao%5<>0 THEN CASE WHEN id_doacao%3=0 THEN hs ELSE id_streamer END END AS canal
+              FROM silver_doacoes, (SELECT id_viewer AS hv, id_streamer AS hs FROM silver_assinaturas
+                                    WHERE id_streamer IS NOT NULL ORDER BY id_viewer, id_streamer LIMIT 1))
+        LEFT JOIN (SELECT id_viewer, id_streamer, MIN(id_assinatura) AS primeira FROM silver_assinaturas
+                   GROUP BY id_viewer, id_streamer) ON id_viewer = quem AND id_streamer = canal
+        GROUP BY 1""",
+}
+
 DOUBLES = {"valor", "valor_mensal"}
 MEASURES = ("valor", "valor_mensal", "duracao_minutos")
 

@@ -6,6 +6,7 @@ and analytics read stored layers that the session's first such query builds from
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -18,15 +19,28 @@ from sedimenta.functions.measures import percent_change, ratio
 from sedimenta.functions.parsing import parse_as
 from sedimenta.operators import quality
 from sedimenta.operators.audit import EXTRACTION_DATE, stamp_bronze, without_audit
-from sedimenta.operators.dimensional import map_surrogate, unknown_key_counts
-from sedimenta.plans import analytics, marts, star
+from sedimenta.operators.dimensional import map_surrogate, or_unknown, unknown_key_counts
+from sedimenta.operators.joins import lookup_by
+from sedimenta.operators.ordering import number_rows
+from sedimenta.plans import analytics, audience, marts, star
 from sedimenta.plans.lake import Lake, session_lake
-from sedimenta.plans.layers import run_layers
+from sedimenta.plans.layers import load_bronze, run_layers
 from sedimenta.plans.sizing import size_shuffles
 from sedimenta.plans.specs import WIDE_SPECS
-from sedimenta.sources.landing import read_landing_csv, table_name, write_landing
+from sedimenta.sources.bucketed import bucketed_join, write_bucketed
+from sedimenta.sources.clustered import write_clustered
+from sedimenta.sources.landing import landing_path, read_landing_csv, table_name, write_landing
+from sedimenta.sources.months import MONTH, read_months, write_months
 from sedimenta.sources.retail import RetailSource
-from sedimenta.sources.tables import read_table, register_star, row_counts
+from sedimenta.sources.tables import (
+    quarantine_path,
+    read_table,
+    register_star,
+    row_counts,
+    stored_bounds,
+    stored_counts,
+    table_path,
+)
 
 DAY = "2024-01-01"
 # A key of each star and mart table that is summed up to compare them.
@@ -368,6 +382,224 @@ def layers_all_outputs(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+def quarantine_all(spark, folder):
+    """Keys and reasons of all rows that the same run put in quarantine."""
+    root = all_layers(spark, folder)
+    parts = [
+        spark.read.parquet(quarantine_path(root, name)).select(
+            F.lit(name).alias("tabela"), F.col(spec.key).cast("bigint").alias("chave"), F.col(quality.REASON).alias("motivo")
+        )
+        for name, spec in WIDE_SPECS.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def landing_foreign(spark, folder):
+    """Plain CSV of another writer, with line breaks, quotes, commas and backslashes in values, to bronze."""
+    games = RetailSource(spark, folder)("jogos")
+    turn = F.col("id_jogo") % 4
+    odd = F.when(turn == 0, "\n").when(turn == 1, "C:\\new\\run").when(turn == 2, '","').otherwise("\\n\\")
+    named = quality.as_bronze(games.withColumn("nome", F.concat("nome", odd, F.lit("fim"))))
+
+    def load(root):
+        named.write.csv(landing_path(f"{root}/landing", "jogos", DAY), header=True, escape='"')
+        load_bronze(spark, root, "jogos", DAY, multi_line=True)
+        return root
+
+    root = lake_of(spark, folder).once("foreign", load)
+    loaded = read_table(spark, root, "bronze", "jogos")
+    return loaded.select(F.col("id_jogo").cast("bigint").alias("id_jogo"), "nome")
+
+
+def run_resumed(spark, folder):
+    """The log of a run that is taken up again after one table has landed anew: what depends on it is made again."""
+
+    def run(root):
+        source = RetailSource(spark, folder)
+        run_layers(spark, source, root, DAY, specs=WIDE_SPECS, record=True)
+        write_landing(source("doacoes"), f"{root}/landing", "doacoes", DAY)
+        again = run_layers(spark, source, root, DAY, ("bronze", "silver", "star", "marts"), specs=WIDE_SPECS, resume=True)
+        again.select("stage", "table", "operation", "rows").write.parquet(f"{root}/_last_log")
+        return f"{root}/_last_log"
+
+    return spark.read.parquet(lake_of(spark, folder).once("resumed", run))
+
+
+def layer_types(spark, folder):
+    """Each column of the stored silver and star tables with its type, as written, and how many values it has."""
+    root = all_layers(spark, folder)
+    parts = []
+    for layer, names in (("silver", WIDE_SPECS), ("gold", star.STAR)):
+        for name in names:
+            df = read_table(spark, root, layer, name)
+            kinds = F.create_map(*[F.lit(text) for column in df.dtypes for text in column])
+            filled = df.agg(*[F.count(c).alias(c) for c in df.columns]).unpivot([], df.columns, "coluna", "preenchidas")
+            parts.append(filled.select(F.lit(name).alias("tabela"), "coluna", kinds[F.col("coluna")].alias("tipo"), "preenchidas"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# Layouts
+
+
+def dedup_isolated(spark, folder):
+    """Views deduplicated by comparing only those that share a key."""
+
+    def clean(path):
+        quality.clean_rows(typed(spark, folder, "visualizacoes"), WIDE_SPECS["visualizacoes"]).write.parquet(path)
+        return path
+
+    stored = spark.read.parquet(lake_of(spark, folder).once("clean_views", clean))
+    return quality.deduplicate_isolated(stored, WIDE_SPECS["visualizacoes"])
+
+
+def viewer_sets(spark, folder):
+    """The stored sets of viewers per streamer and month."""
+    lake = lake_of(spark, folder)
+
+    def store(path):
+        audience.viewer_sets(lake).write.parquet(path)
+        return path
+
+    return spark.read.parquet(lake.once("viewer_sets", store))
+
+
+def doc_unique_viewers_rollup(spark, folder):
+    return audience.unique_viewers_rollup(viewer_sets(spark, folder))
+
+
+def kpi4_true_viewers_by_platform(spark, folder):
+    return audience.true_viewers_by_platform(viewer_sets(spark, folder), lake_of(spark, folder)["dim_streamer"])
+
+
+def by_months(spark, folder, fact):
+    """A fact's rows kept by month."""
+    lake = lake_of(spark, folder)
+
+    def store(path):
+        write_months(lake[fact], path)
+        return path
+
+    return lake.once(f"months_{fact}", store)
+
+
+def fato_doacoes_month(spark, folder):
+    """The donations of one month, of which alone the files are read."""
+    return read_months(spark, by_months(spark, folder, "fato_doacoes"), 199603, 199603).drop(MONTH)
+
+
+def doc_revenue_quarter(spark, folder):
+    """Revenue per streamer and month of one quarter, from that quarter's files."""
+    facts = {
+        name: read_months(spark, by_months(spark, folder, name), 199601, 199603) for name in ("fato_doacoes", "fato_assinaturas")
+    }
+    return analytics.revenue_per_streamer({**facts, "dim_streamer": lake_of(spark, folder)["dim_streamer"]})
+
+
+def fato_visualizacoes_bucketed(spark, folder):
+    """The views fact from tables in buckets of the broadcast, which meet without a shuffle."""
+    lake = lake_of(spark, folder)
+
+    def tables(path):
+        names = {}
+        for name in ("visualizacoes", "fato_transmissoes"):
+            names[name] = f"sedimenta_{uuid.uuid4().hex}"
+            columns = lake[name].columns if name == "visualizacoes" else ["id_transmissao", "sk_streamer", "sk_jogo"]
+            write_bucketed(lake[name].select(*columns), names[name], f"{path}/{name}", "id_transmissao", 8)
+        return names
+
+    names = lake.once("bucketed", tables)
+    joined = bucketed_join(spark, names["visualizacoes"], names["fato_transmissoes"], "id_transmissao")
+    views = map_surrogate(
+        joined, lake["dim_viewer"], "id_viewer", "id_viewer", "sk_viewer", right_rows=lake.rows["dim_viewer"],
+        spread_by=("id_visualizacao",),
+    )
+    return views.select(
+        date_key(F.col("data_hora")).alias("sk_tempo"),
+        "sk_viewer",
+        *[or_unknown(F.col(name)).alias(name) for name in ("sk_streamer", "sk_jogo")],
+        "id_visualizacao",
+        "id_transmissao",
+        "minutos_assistidos",
+    )
+
+
+def clustered_views(spark, folder):
+    """The views fact clustered on streamer and day."""
+    lake = lake_of(spark, folder)
+
+    def store(path):
+        write_clustered(lake["fato_visualizacoes"], path, "sk_streamer", "sk_tempo", 8, 1 << 16, b_start=19920101)
+        return path
+
+    return spark.read.parquet(lake.once("clustered_views", store))
+
+
+def clustered_scan(spark, folder):
+    """Views of one streamer, and of one week, from files clustered on both."""
+    views = clustered_views(spark, folder)
+    slices = {"streamer": F.col("sk_streamer") == 3, "semana": F.col("sk_tempo").between(19960311, 19960317)}
+    parts = [
+        views.where(chosen).agg(
+            F.lit(name).alias("recorte"),
+            F.count("*").alias("linhas"),
+            F.coalesce(F.sum("minutos_assistidos"), F.lit(0)).cast("bigint").alias("minutos"),
+        )
+        for name, chosen in slices.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def rowcount_footer(spark, folder):
+    """Rows of all silver tables, from the files' footers."""
+    lake = lake_of(spark, folder)
+    lake.build_all(list(WIDE_SPECS))
+    return stored_counts(spark, {name: table_path(lake.root, "silver", name) for name in WIDE_SPECS})
+
+
+def fact_date_bounds(spark, folder):
+    """Rows, first and last day of each fact, from the files' footers."""
+    lake = lake_of(spark, folder)
+    lake.build_all(list(star.FACTS))
+    paths = {name: table_path(lake.root, "gold", name) for name in star.FACTS}
+    return stored_bounds(spark, paths, "sk_tempo").withColumnRenamed("tabela", "fato")
+
+
+# Keys of any type
+
+
+def sk_by_name(spark, folder):
+    """Games numbered by a name that begins alike for all and is shared by many, then by id."""
+    word = F.concat(F.lit("jogo da plataforma: "), F.substring_index("nome", " ", 1))
+    named = RetailSource(spark, folder)("jogos").select("id_jogo", word.alias("nome"))
+    return number_rows(named, "sk", "nome", "id_jogo", most=64)
+
+
+def lookup_by_name(spark, folder):
+    """Viewers by the key of their country, looked up by its name; a few names have most rows."""
+    lake = lake_of(spark, folder)
+    names = lake["streamers"].select("pais").where(F.col("pais").isNotNull()).distinct()
+    countries = number_rows(names, "sk_pais", "pais")
+    found = lookup_by(lake["viewers"], countries, {"pais": "pais"}, spread_by=("id_viewer",))
+    return found.groupBy(or_unknown(F.col("sk_pais")).alias("sk_pais")).agg(F.count("*").alias("linhas"))
+
+
+def lookup_by_pair(spark, folder):
+    """Donations by the first subscription of the same viewer to the same streamer: a third of them of one pair, a fifth
+    without a streamer."""
+    lake = lake_of(spark, folder)
+    pairs = lake["assinaturas"].where("id_streamer IS NOT NULL").groupBy("id_viewer", "id_streamer")
+    first = pairs.agg(F.min("id_assinatura").alias("primeira"))
+    turn = F.col("id_doacao")
+    hot = first.agg(F.min(F.struct("id_viewer", "id_streamer"))).first()[0]
+    given = lake["doacoes"].select(
+        "id_doacao",
+        F.when(turn % 3 == 0, F.lit(hot["id_viewer"])).otherwise(F.col("id_viewer")).alias("quem"),
+        F.when(turn % 5 != 0, F.when(turn % 3 == 0, F.lit(hot["id_streamer"])).otherwise(F.col("id_streamer"))).alias("canal"),
+    )
+    found = lookup_by(given, first, {"quem": "id_viewer", "canal": "id_streamer"}, spread_by=("id_doacao",))
+    return found.groupBy(F.coalesce("primeira", F.lit(-1)).cast("bigint").alias("primeira")).agg(F.count("*").alias("linhas"))
+
+
 def _each(names, work, prefix=""):
     return {f"{prefix}{name}": (lambda spark, folder, name=name: work(spark, folder, name)) for name in names}
 
@@ -401,6 +633,22 @@ def registered() -> dict[str, Query]:
         star_sql,
         layers_end_to_end,
         layers_all_outputs,
+        quarantine_all,
+        layer_types,
+        landing_foreign,
+        run_resumed,
+        dedup_isolated,
+        doc_unique_viewers_rollup,
+        kpi4_true_viewers_by_platform,
+        fato_doacoes_month,
+        doc_revenue_quarter,
+        fato_visualizacoes_bucketed,
+        clustered_scan,
+        rowcount_footer,
+        fact_date_bounds,
+        sk_by_name,
+        lookup_by_name,
+        lookup_by_pair,
     ]
     found: dict[str, Query] = {
         **_each(WIDE_SPECS, bronze, "bronze_"),

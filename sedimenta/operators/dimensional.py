@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from sedimenta.functions.calendar import calendar_columns, date_key
 from sedimenta.functions.constants import UNKNOWN_KEY, UNKNOWN_TEXT
 from sedimenta.operators.joins import lookup_join
+from sedimenta.operators.ordering import number_rows
 
 # Bits of a 64-bit key: 20 within a block, 22 for the block within its group, 22 for the group.
 BLOCK_BITS = 20
@@ -20,7 +21,7 @@ GROUP_BITS = 22
 
 
 def add_surrogate_key(df: DataFrame, sk: str, order_by: str) -> DataFrame:
-    """Numbers the rows 1..N by an integer key that is unique in ``df``.
+    """Numbers the rows 1..N by a key that is unique in ``df``: integers as told here, other types by ``number_rows``.
 
     Same numbers as row_number() over the whole table, without bringing the table to one task. Keys
     fall into blocks of 2^20 neighbouring values; a row's number is its place in its block plus the
@@ -29,7 +30,7 @@ def add_surrogate_key(df: DataFrame, sk: str, order_by: str) -> DataFrame:
     rerun on the same rows, gives the same numbers.
     """
     if not isinstance(df.schema[order_by].dataType, T.IntegralType):
-        raise TypeError(f"{order_by} has to be an integer column")
+        return number_rows(df, sk, order_by)
     block = F.shiftright(F.col(order_by).cast("long"), BLOCK_BITS)
     rows = df.withColumn("_block", F.coalesce(block, F.lit(-1 << 62)))
     blocks = rows.groupBy("_block").agg(F.count(F.lit(1)).alias("_rows"))

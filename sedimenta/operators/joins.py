@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,3 +78,56 @@ def lookup_join(
     return joined.select(
         *left.columns, *[F.coalesce(F.col(f"_h_{n}"), F.col(f"_r_{n}")).alias(n) for n in values]
     )
+
+
+def lookup_by(
+    left: DataFrame,
+    right: DataFrame,
+    on: dict[str, str],
+    right_rows: int | None = None,
+    spread_by: tuple[str, ...] = (),
+    hot_from: DataFrame | None = None,
+) -> DataFrame:
+    """``lookup_join`` for keys of any type and any number of columns: ``on`` maps columns of ``left`` to those of
+    ``right``, which has one row for each key without a NULL part.
+
+    Rows are dealt, and hot keys counted in sketches, by a hash of the key's columns; the columns themselves are compared
+    in every join, so keys with the same hash cost a comparison and change nothing. A key with a NULL part finds nothing.
+    """
+    names = list(on)
+    values = [name for name in right.columns if name not in on.values()]
+    right = right.where(_whole(on.values())).select(
+        F.xxhash64(*on.values()).alias("_rh"),
+        *[F.col(on[name]).alias(f"_k{i}") for i, name in enumerate(names)],
+        *[F.col(name).alias(f"_r_{name}") for name in values],
+    )
+
+    def hashed(df: DataFrame, out: str) -> DataFrame:
+        return df.withColumn(out, F.when(_whole(names), F.xxhash64(*names)))
+
+    def same(hash_column: str):
+        pairs = [F.col(name) == F.col(f"_k{i}") for i, name in enumerate(names)]
+        return reduce(and_, pairs, F.col(hash_column) == F.col("_rh"))
+
+    keyed = hashed(left, "_lh")
+    if fits_everywhere(right, right_rows):
+        joined = keyed.join(F.broadcast(right), same("_lh"), "left")
+        return joined.select(*left.columns, *[F.col(f"_r_{n}").alias(n) for n in values])
+
+    hot = hot_keys(keyed if hot_from is None else hashed(hot_from, "_lh"), "_lh")
+    settled = hot.join(right, F.col("_hot") == F.col("_rh"), "left").select(
+        "_hot", *[F.col(f"_k{i}").alias(f"_hk{i}") for i in range(len(names))], *[F.col(f"_r_{n}").alias(f"_h_{n}") for n in values]
+    )
+    # A hot hash that ``right`` lacks has one row without a key, which settles all rows with that hash; rows of another
+    # key with a hash that it has go on to the second join, like cold ones.
+    equal = reduce(and_, [F.col(name) == F.col(f"_hk{i}") for i, name in enumerate(names)])
+    near = keyed.join(F.broadcast(settled), (F.col("_lh") == F.col("_hot")) & (equal | F.col("_hk0").isNull()), "left")
+    near = near.withColumn("_ch", F.when(F.col("_hot").isNull(), F.col("_lh")))
+    near = near.withColumn("_part", F.coalesce("_ch", F.xxhash64(*(spread_by or left.columns))))
+    far = right.withColumn("_rpart", F.col("_rh"))
+    joined = near.join(far, same("_ch") & (F.col("_part") == F.col("_rpart")), "left")
+    return joined.select(*left.columns, *[F.coalesce(f"_h_{n}", f"_r_{n}").alias(n) for n in values])
+
+
+def _whole(names):
+    return reduce(and_, [F.col(name).isNotNull() for name in names])

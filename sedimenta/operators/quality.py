@@ -121,6 +121,19 @@ def deduplicate(df: DataFrame, spec: TableSpec) -> DataFrame:
     return kept.select(*[F.col(n) if n == spec.key else F.col(f"_kept.{n}").alias(n) for n in df.columns])
 
 
+def deduplicate_isolated(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows of ``deduplicate``, for stored rows of which few share their key: only those are compared.
+
+    Keys are counted first, in a hash aggregate over the key alone. Rows whose key is theirs alone pass by an anti-join,
+    unsorted and unaggregated; the rows of the other keys, combined before the shuffle, give their smallest. ``df`` is
+    read three times, so it should be a stored table.
+    """
+    repeated = df.groupBy(spec.key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > 1).select(spec.key)
+    alone = df.join(repeated, spec.key, "left_anti")
+    shared = df.join(repeated, spec.key, "left_semi")
+    return alone.select(*df.columns).unionByName(deduplicate(shared.select(*df.columns), spec))
+
+
 def refine(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Bronze or typed source rows to (silver, quarantine)."""
     typed = standardize(df, spec, keep)
@@ -129,19 +142,24 @@ def refine(df: DataFrame, spec: TableSpec, keep: tuple[str, ...] = ()) -> tuple[
 
 def table_report(typed: DataFrame, spec: TableSpec) -> DataFrame:
     """One row of counts from one pass over standardised rows: read = valid + quarantined + duplicates."""
-    clean = ~any_broken(spec)
-    counts = typed.agg(
-        F.count(F.lit(1)).alias("lidos"),
-        F.count_if(~clean).alias("quarentena"),
-        F.count_if(clean).alias("_clean"),
-        F.count_distinct(F.when(clean, F.col(spec.key))).alias("validos"),
+    # The verdict is made once a row; keys are counted as groups, combined before the shuffle.
+    judged = typed.select(F.col(spec.key).alias("_key"), any_broken(spec).alias("_broken"))
+    keyed = judged.select(F.when(~F.col("_broken"), F.col("_key")).alias("_key"), "_broken")
+    keys = keyed.groupBy("_key", "_broken").agg(F.count(F.lit(1)).alias("_rows"))
+
+    def rows(broken):
+        return F.coalesce(F.sum(F.when(broken, F.col("_rows"))), F.lit(0))
+
+    broken = F.col("_broken")
+    counts = keys.agg(
+        rows(F.lit(True)).alias("lidos"), rows(broken).alias("quarentena"), F.count_if(~broken).alias("validos")
     )
     return counts.select(
         F.lit(spec.name).alias("tabela"),
         "lidos",
         "validos",
         "quarentena",
-        (F.col("_clean") - F.col("validos")).alias("duplicados"),
+        (F.col("lidos") - F.col("quarentena") - F.col("validos")).alias("duplicados"),
     )
 
 

@@ -19,12 +19,15 @@ from sedimenta.operators.quality import (
     any_broken,
     clean_rows,
     deduplicate,
-    rejected_rows,
+    evaluate_quality,
     standardize,
 )
 from sedimenta.plans import marts, star
 from sedimenta.plans.specs import SPECS, TableSpec
-from sedimenta.sources.tables import quarantine_path, read_table, table_path, write_table
+from sedimenta.sources.tables import delete_path, quarantine_path, read_table, table_path, write_table
+
+# Column by which judged rows are kept apart while a table is refined: 1 is rejected.
+REJECTED = "_rejeitada"
 
 
 @dataclass(frozen=True)
@@ -60,6 +63,7 @@ class Lake(Mapping):
         self.spark, self.root, self.bronze, self.specs, self.fmt = spark, root, bronze, specs, fmt
         self.written: dict[str, Written] = {}
         self._locks = {name: threading.RLock() for name in self}
+        self._judged: dict[str, DataFrame] = {}
         self._once: dict[str, object] = {}
         self._once_lock = threading.Lock()
 
@@ -119,27 +123,47 @@ class Lake(Mapping):
                 self._once[label] = work(f"{self.root}/{label}")
             return self._once[label]
 
-    def write_quarantine(self, name: str) -> Written:
-        """Rejected rows with their reasons, and the table's full counts.
+    def write_quarantine(self, name: str, raw: str | None = None) -> Written:
+        """Silver table and quarantine (rejected rows with their reasons) from one parse, with the table's full counts.
 
-        Both counts are taken in the task that writes the rows, so a task run twice counts once.
+        The unrefined rows are read, parsed and judged once, and written apart by verdict; both tables are made from
+        that. The counts are taken in the task that writes the rows, so a task run twice counts once. ``raw`` names a
+        column of the quarantine for the row as it came, as JSON. A silver table that this session has written before is
+        left as it is.
         """
-        silver = self.build(name)
+        spec, path = self.specs[name], table_path(self.root, "silver", f"_judged/{name}")
+        typed = self._typed(name, raw)
+        broken = any_broken(spec)
+        judged = typed.withColumn(REJECTED, broken.cast("int"))
+        if raw:
+            judged = judged.withColumn(raw, F.when(broken, F.col(raw)))
         seen = Observation()
-        spec = self.specs[name]
-        counted = self._typed(name).observe(
-            seen, F.count(F.lit(1)).alias("read"), F.count_if(any_broken(spec)).alias("rejected")
-        )
-        write_table(stamp(rejected_rows(counted, spec), "silver"), quarantine_path(self.root, name), self.fmt)
-        read, rejected = seen.get["read"], seen.get["rejected"]
-        return Written("silver", name, silver.rows, read, rejected, read - rejected - silver.rows)
-
-    def _typed(self, name: str) -> DataFrame:
-        return standardize(self.bronze(name), self.specs[name], keep=(EXTRACTION_DATE,))
+        counted = judged.observe(seen, F.count(F.lit(1)).alias("read"), F.count_if(F.col(REJECTED) == 1).alias("rejected"))
+        write_table(counted, path, partition_by=(REJECTED,))
+        stored = self.spark.read.schema(judged.schema).parquet(path)
+        try:
+            self._judged[name] = stored.where(F.col(REJECTED) == 0).drop(REJECTED, *([raw] if raw else []))
+            silver = self.build(name)
+            rejected = evaluate_quality(stored.where(F.col(REJECTED) == 1).drop(REJECTED), spec)
+            write_table(stamp(rejected, "silver"), quarantine_path(self.root, name), self.fmt)
+        finally:
+            del self._judged[name]
+            delete_path(self.spark, path)
+        read, count = seen.get["read"], seen.get["rejected"]
+        return Written("silver", name, silver.rows, read, count, read - count - silver.rows)
+
+    def _typed(self, name: str, raw: str | None = None) -> DataFrame:
+        rows, keep = self.bronze(name), [EXTRACTION_DATE]
+        if raw:
+            rows, keep = rows.withColumn(raw, F.to_json(F.struct(*self.specs[name].columns))), [*keep, raw]
+        return standardize(rows, self.specs[name], keep=tuple(keep))
 
     def _write_silver(self, name: str) -> Written:
-        clean = deduplicate(clean_rows(self._typed(name), self.specs[name]), self.specs[name])
-        rows = self._write(stamp(clean, "silver"), "silver", name, F.count(F.lit(1)).alias("rows"))["rows"]
+        clean = self._judged.get(name)
+        if clean is None:
+            clean = clean_rows(self._typed(name), self.specs[name])
+        unique = deduplicate(clean, self.specs[name])
+        rows = self._write(stamp(unique, "silver"), "silver", name, F.count(F.lit(1)).alias("rows"))["rows"]
         return Written("silver", name, rows)
 
     def _write_gold(self, name: str, df: DataFrame, audit_keys: bool = False) -> Written:

@@ -14,8 +14,16 @@ from sedimenta.plans.lake import Lake, Written
 from sedimenta.plans.sizing import kept_shuffles, size_shuffles
 from sedimenta.plans.specs import SPECS, TableSpec, select_names
 from sedimenta.sources.jdbc import export_jdbc
-from sedimenta.sources.landing import discover_landing, landing_path, read_landing_csv, write_landing
-from sedimenta.sources.tables import read_table, table_path, write_table
+from sedimenta.sources.landing import discover_landing, landed_path, read_landing_csv, write_landing
+from sedimenta.sources.tables import (
+    folder_digest,
+    path_exists,
+    quarantine_path,
+    read_table,
+    stored_rows,
+    table_path,
+    write_table,
+)
 
 STAGES = ("landing", "bronze", "silver", "star", "marts", "export")
 
@@ -28,8 +36,12 @@ LOG_SCHEMA = (
 def load_bronze(
     spark: SparkSession, root: str, table: str, day: str, fmt: str = "parquet", multi_line: bool = False
 ) -> int:
-    """One landing table to bronze, all columns text plus provenance; gives the rows loaded."""
-    df = stamp_bronze(read_landing_csv(spark, landing_path(f"{root}/landing", table, day), multi_line=multi_line), day)
+    """One landing table to bronze, all columns text plus provenance; gives the rows loaded.
+
+    Escapes are turned back only in files that ``write_landing`` made; ``multi_line`` is for others' line breaks.
+    """
+    path = landed_path(spark, f"{root}/landing", table, day)
+    df = stamp_bronze(read_landing_csv(spark, path, multi_line=multi_line), day)
     seen = Observation()
     write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), table_path(root, "bronze", table), fmt)
     return seen.get["rows"]
@@ -66,6 +78,10 @@ def run_layers(
     fmt: str = "parquet",
     export: Callable[[str, DataFrame], None] | None = None,
     at_once: int = 4,
+    multi_line: bool = False,
+    raw: str | None = None,
+    record: bool = False,
+    resume: bool = False,
 ) -> DataFrame:
     """Runs the stages in order under ``root`` and gives the log, which is also kept in ``_run_log``.
 
@@ -73,11 +89,17 @@ def run_layers(
     is an error if it is not there or, in bronze, of another day. The session's shuffle width is put back at the end.
     Tables of a stage are independent of one another and run ``at_once`` at a time. ``export`` is
     called for each mart in the last stage (see ``jdbc_export``).
+
+    ``multi_line``: landing files of other writers have line breaks in values. ``raw``: a quarantine column for rejected
+    rows as they came. ``record``: keep for each table what it was made from. ``resume``: so too, and a table is left as it is, and noted as ``unchanged``, if neither its files nor those
+    that it was made from have changed since a run that recorded it (``Ledger``); what depends on a changed table is
+    made anew. Landing is not skipped, since a source has no files to compare: a run that is taken up again leaves that stage out.
     """
     stages = select_names(STAGES, stages)
     tables = select_names(specs, tables)
     objects, mart_names = select_names(star.STAR, objects), select_names(marts.MARTS, mart_names)
     lake = Lake(spark, root, lambda name: read_table(spark, root, "bronze", name, fmt=fmt), specs, fmt)
+    ledger = Ledger(spark, root, record, resume) if fmt == "parquet" else Ledger(spark, root, False, False)
     log: list[tuple] = []
 
     def side_by_side(work, names):
@@ -89,42 +111,72 @@ def run_layers(
             (stage, done.table, operation, done.rows, done.read, done.rejected, done.duplicates, done.unknown_keys)
         )
 
+    def run(stage, names, work, outputs, inputs):
+        """``work`` for each table that is not as it was left; the log keeps the tables' order."""
+
+        def one(name):
+            made = outputs(name)
+            if ledger.unchanged(stage, name, made, inputs(name)):
+                return Written(stage, name, stored_rows(spark, made[0])), "unchanged"
+            done = work(name)
+            ledger.keep(stage, name, made, inputs(name))
+            return done, "overwrite"
+
+        for done, operation in side_by_side(one, names):
+            note(stage, done, operation)
+            if operation == "unchanged" and stage != "bronze":
+                lake.written.setdefault(done.table, done)
+
+    def gold(name):
+        return [table_path(root, lake.layer(name), name)]
+
+    def made_from(sources):
+        return lambda name: [path for source in sources[name] for path in gold(source)]
+
     try:
         with kept_shuffles(spark):
             if "landing" in stages:
                 for name, rows in zip(tables, side_by_side(lambda n: _land(source(n), root, n, day), tables)):
                     note("landing", Written("landing", name, rows))
             if "bronze" in stages:
-                names = landed_tables(spark, root, day, tables)
-                for name, rows in zip(names, side_by_side(lambda n: load_bronze(spark, root, n, day, fmt), names)):
-                    note("bronze", Written("bronze", name, rows))
+                run(
+                    "bronze",
+                    landed_tables(spark, root, day, tables),
+                    lambda n: Written("bronze", n, load_bronze(spark, root, n, day, fmt, multi_line)),
+                    lambda n: [table_path(root, "bronze", n)],
+                    lambda n: [landed_path(spark, f"{root}/landing", n, day)],
+                )
             if "silver" in stages:
                 for name in tables:
                     _of_day(lake, name, day)
                 size_shuffles(spark, f"{root}/bronze")
-                for done in side_by_side(lake.write_quarantine, tables):
-                    note("silver", done)
+                run(
+                    "silver",
+                    tables,
+                    lambda n: lake.write_quarantine(n, raw),
+                    lambda n: [table_path(root, "silver", n), quarantine_path(root, n)],
+                    lambda n: [table_path(root, "bronze", n)],
+                )
             if "star" in stages:
-                silver, gold = star.needed(objects)
+                silver, others = star.needed(objects)
                 _reuse(lake, [n for n in silver if "silver" not in stages or n not in tables])
-                _reuse(lake, [n for n in gold if n not in objects])
+                _reuse(lake, [n for n in others if n not in objects])
                 size_shuffles(spark, f"{root}/silver")
-                for group in (star.DIMENSIONS, ("fato_transmissoes",), star.FACTS):
-                    lake.build_all([name for name in objects if name in group], at_once)
-                for name in objects:
-                    note("star", lake.build(name))
+                for group in (star.DIMENSIONS, ("fato_transmissoes",), [n for n in star.FACTS if n != "fato_transmissoes"]):
+                    run("star", [n for n in objects if n in group], lake.build, gold, made_from(star.INPUTS))
             if "marts" in stages:
                 inputs = [n for m in mart_names for n in marts.INPUTS[m]]
                 _reuse(lake, [n for n in inputs if "star" not in stages or n not in objects])
-                for done in lake.build_all(mart_names, at_once):
-                    note("marts", done)
+                run("marts", mart_names, lake.build, gold, made_from(marts.INPUTS))
             if "export" in stages:
                 if export is None:
                     raise ValueError("the export stage needs an export target")
                 for name in mart_names:
+                    seen = Observation()
                     mart = read_table(spark, root, "gold", name, fmt=fmt)
-                    export(name, mart)
-                    note("export", Written("export", name, mart.count()), "truncate")
+                    # Counted in the tasks that hand the rows over.
+                    export(name, mart.observe(seen, F.count(F.lit(1)).alias("rows")))
+                    note("export", Written("export", name, seen.get["rows"]), "truncate")
     finally:
         # What was done before a failure is on record too.
         run_log = spark.createDataFrame(log, LOG_SCHEMA).withColumn("run_at", F.current_timestamp())
@@ -132,6 +184,36 @@ def run_layers(
     return run_log
 
 
+class Ledger:
+    """What each table was made from, by its files and those of its inputs, so that a run can be taken up again.
+
+    An entry is written once its table is whole, and taken for true only if the listing of inputs and outputs gives what
+    it says.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, record: bool, resume: bool):
+        self.spark, self.folder, self.record, self.resume = spark, f"{root}/_ledger", record or resume, resume
+
+    def _entry(self, stage: str, table: str) -> str:
+        return f"{self.folder}/{stage}__{table}"
+
+    def _digests(self, outputs: list[str], inputs: list[str]) -> tuple[str | None, str | None]:
+        return folder_digest(self.spark, *outputs), folder_digest(self.spark, *inputs)
+
+    def unchanged(self, stage: str, table: str, outputs: list[str], inputs: list[str]) -> bool:
+        path = self._entry(stage, table)
+        if not self.resume or not path_exists(self.spark, f"{path}/_SUCCESS"):
+            return False
+        found = self._digests(outputs, inputs)
+        return None not in found and found == tuple(self.spark.read.schema("outputs string, inputs string").json(path).first())
+
+    def keep(self, stage: str, table: str, outputs: list[str], inputs: list[str]) -> None:
+        if not self.record:
+            return
+        entry = self.spark.createDataFrame([self._digests(outputs, inputs)], "outputs string, inputs string")
+        entry.coalesce(1).write.mode("overwrite").json(self._entry(stage, table))
+
+
 def _land(df: DataFrame, root: str, name: str, day: str) -> int:
     """Writes one table's landing files; gives the rows written."""
     seen = Observation()
@@ -143,8 +225,9 @@ def _reuse(lake: Lake, names: list[str]) -> None:
     """What a run was not asked to write is taken as it is stored."""
     for name in names:
         if name not in lake.written:
-            stored = read_table(lake.spark, lake.root, lake.layer(name), name, fmt=lake.fmt)
-            lake.written[name] = Written(lake.layer(name), name, stored.count())
+            layer = lake.layer(name)
+            rows = stored_rows(lake.spark, table_path(lake.root, layer, name), lake.fmt)
+            lake.written[name] = Written(layer, name, rows)
 
 
 def jdbc_export(url: str, schema: str, **options: str) -> Callable[[str, DataFrame], None]:

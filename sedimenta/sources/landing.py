@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sedimenta.operators.quality import as_bronze
+from sedimenta.sources.tables import mark_path, path_exists
 
 DEFAULT_SCHEMA = "public"
+# Marks a folder of which the values are escaped.
+ESCAPED = "_escaped"
 
 
 def landing_path(root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA) -> str:
@@ -18,7 +21,7 @@ def write_landing(df: DataFrame, root: str, table: str, day: str, schema: str =
     """All columns as text with a header; quotes inside a value are doubled, NULL and '' are both empty.
 
     Line breaks inside values are written as backslash and letter (and a backslash as backslash and s), so that a row is
-    a line and files can be split between tasks; ``read_landing_csv`` turns them back. A rerun for the same day replaces the folder. Readers see it only once the write is committed.
+    a line and files can be split between tasks; a mark in the folder tells ``read_landing_csv`` to turn them back. A rerun for the same day replaces the folder. Readers see it only once the write is committed.
     """
     path = landing_path(root, table, day, schema)
     text = as_bronze(df)
@@ -30,6 +33,7 @@ def write_landing(df: DataFrame, root: str, table: str, day: str, schema: str =
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
     )
+    mark_path(df.sparkSession, f"{path}/{ESCAPED}")
     return path
 
 
@@ -48,16 +52,30 @@ def _pair(search: str, replacement: str) -> tuple[Column, Column]:
     return F.lit(search), F.lit(replacement)
 
 
+def landed_path(spark: SparkSession, root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA) -> str:
+    """The table's folder, or the single CSV file that another writer left in its place."""
+    path = landing_path(root, table, day, schema)
+    return path if path_exists(spark, path) or not path_exists(spark, f"{path}.csv") else f"{path}.csv"
+
+
 def read_landing_csv(
-    spark: SparkSession, path: str | list[str], infer: bool = False, multi_line: bool = False, escapes: bool = True
+    spark: SparkSession, path: str | list[str], infer: bool = False, multi_line: bool = False, escapes: bool | None = None
 ) -> DataFrame:
     """CSV with a header, every column a string, or with types inferred.
 
-    ``escapes`` turns back what ``write_landing`` escaped. For files of other writers it can be switched off;
-    ``multi_line`` then accepts line breaks inside quoted values, at the price that a file can no longer be split
-    between tasks.
+    ``escapes`` turns back what ``write_landing`` escaped; by default in the folders that it marked, so files of other
+    writers are taken as they are. ``multi_line`` accepts line breaks inside quoted values of theirs, at the price that a
+    file can no longer be split between tasks.
     """
-    rows = spark.read.csv(path, header=True, escape='"', inferSchema=infer, multiLine=multi_line)
+    paths = [path] if isinstance(path, str) else list(path)
+    if escapes is None:
+        marked = [path_exists(spark, f"{one}/{ESCAPED}") for one in paths]
+        if any(marked) and not all(marked):
+            kinds = [[one for one, own in zip(paths, marked) if own == kind] for kind in (True, False)]
+            both = [read_landing_csv(spark, some, infer, multi_line, kind) for some, kind in zip(kinds, (True, False))]
+            return both[0].unionByName(both[1])
+        escapes = all(marked)
+    rows = spark.read.csv(paths, header=True, escape='"', inferSchema=infer, multiLine=multi_line)
     if not escapes:
         return rows
     return rows.select(*[unescaped(rows[name]).alias(name) if kind == "string" else rows[name] for name, kind in rows.dtypes])

@@ -40,8 +40,7 @@ def write_table(
         writer.save(fresh)
         _take_place(df.sparkSession, fresh, path)
     finally:
-        files, (left,) = _files(df.sparkSession, fresh)
-        files.delete(left, True)
+        delete_path(df.sparkSession, fresh)
 
 
 def _beside(path: str, label: str) -> str:
@@ -56,6 +55,12 @@ def _files(spark: SparkSession, *paths: str):
     return own[0].getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Removes a folder and what is in it, if it is there."""
+    files, (gone,) = _files(spark, path)
+    files.delete(gone, True)
+
+
 def _take_place(spark: SparkSession, fresh: str, path: str) -> None:
     files, (new, current, previous) = _files(spark, fresh, path, _beside(path, "_previous"))
     if files.exists(current):
@@ -98,6 +103,67 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return counts.withColumn("tabela", F.coalesce("tabela", F.lit("TOTAL")))
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application in which MIN, MAX and COUNT over stored parquet come from the files' footers."""
+    session = spark.newSession()
+    kept = ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions")
+    footers = {"spark.sql.sources.useV1SourceList": "avro,csv,json,kafka,orc,text", "spark.sql.parquet.aggregatePushdown": "true"}
+    for name, value in {**{name: spark.conf.get(name) for name in kept}, **footers}.items():
+        session.conf.set(name, value)
+    return session
+
+
+def stored_counts(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
+    """``row_counts`` of stored parquet tables, from their footers alone."""
+    counts = stored_bounds(spark, paths).rollup("tabela").agg(F.sum("linhas").alias("linhas"))
+    return counts.withColumn("tabela", F.coalesce("tabela", F.lit("TOTAL")))
+
+
+def stored_bounds(spark: SparkSession, paths: dict[str, str], *columns: str) -> DataFrame:
+    """(tabela, linhas, and ``min_``/``max_`` of number and date columns) of stored parquet tables, from their footers
+    alone."""
+    session = footer_session(spark)
+    # Files without a row group tell no count at all, although a count is never NULL by its type.
+    linhas = F.greatest("linhas", F.lit(0)).alias("linhas")
+    ends = [f(name).alias(f"{label}_{name}") for name in columns for label, f in (("min", F.min), ("max", F.max))]
+    parts = [
+        session.read.parquet(_standing(spark, path))
+        .agg(F.count(F.lit(1)).alias("linhas"), *ends)
+        .select(F.lit(name).alias("tabela"), linhas, *[f"{label}_{c}" for c in columns for label in ("min", "max")])
+        for name, path in paths.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stored_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
+    """Rows of one stored table; parquet is not read for it."""
+    if fmt != "parquet":
+        return spark.read.format(fmt).load(path).count()
+    return stored_bounds(spark, {"": path}).first()["linhas"]
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, (wanted,) = _files(spark, path)
+    return files.exists(wanted)
+
+
+def mark_path(spark: SparkSession, path: str) -> None:
+    """An empty file; names that begin with an underscore are no data to any reader."""
+    files, (mark,) = _files(spark, path)
+    files.create(mark, True).close()
+
+
+def folder_digest(spark: SparkSession, *paths: str) -> str | None:
+    """What a listing tells of the files under the folders (names, lengths, modification times) as one value; None where
+    a folder is missing."""
+    if not all(path_exists(spark, path) for path in paths):
+        return None
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    told = F.xxhash64("path", "length", F.unix_micros("modificationTime"))
+    row = files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(told), F.sum(told.cast("decimal(38,0)"))).first()
+    return ":".join(map(str, row))
+
+
 def table_detail(spark: SparkSession, path: str) -> DataFrame:
     """(arquivos, bytes, modificado) of a stored table, from a file listing alone."""
     files = (
