@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from sedimenta.llm.store import send_package, stored
 
 #: Bytes of text in a block (a longer text is a block by itself), and of text to a bucket.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 BUCKET_BYTES = 32 << 20
 FEWEST_BUCKETS = 64
-#: No level can be asked for beyond this.
-MOST_WEIGHT = (1 << 16) - 1
+#: Bytes of a hash that are sent beside its bucket.
+HASH_BYTES = 4
 
 
 def packed(docs: DataFrame, *columns: str, text: str = "text") -> DataFrame:
@@ -95,19 +95,22 @@ def buckets_for(blocks: DataFrame) -> int:
 
 
 class Dealt:
-    """Distinct hashes by bucket: of 64 bits the upper half chooses the bucket, the lower half is sent."""
+    """Distinct hashes by bucket: of 64 bits the upper half chooses the bucket, of the lower half ``width`` bytes are
+    sent."""
 
-    def __init__(self, hashes: np.ndarray, buckets: int):
-        keys = (hashes >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
+    def __init__(self, hashes: np.ndarray, buckets: int, width: int = HASH_BYTES):
+        low = np.uint64((1 << 8 * width) - 1)
+        keys = (hashes >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | hashes & low
         self.keys, self.inverse, self.counts = np.unique(keys, return_inverse=True, return_counts=True)
         bucket = (self.keys >> np.uint64(32)).astype(np.int64)
         self.begin = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
         self.end = np.r_[self.begin[1:], len(bucket)] if len(bucket) else self.begin
-        self.bucket = bucket[self.begin]
+        self.bucket, self.width = bucket[self.begin], width
 
-    def sent(self, block: int) -> pa.RecordBatch:
-        low = self.keys.astype("<u4")
-        weight = np.minimum(self.counts, MOST_WEIGHT).astype("<u2")
+    def sent(self, block: int, most: int) -> pa.RecordBatch:
+        """The hashes, and how often each occurs: ``most`` stands for more, too."""
+        low = self.keys.astype("<u4").view(np.uint8).reshape(-1, 4)[:, : self.width]
+        weight = np.minimum(self.counts, most).astype(weight_type(most))
         cut = list(zip(self.begin.tolist(), self.end.tolist()))
         return pa.RecordBatch.from_arrays(
             [
@@ -126,25 +129,38 @@ class Dealt:
         return found[self.inverse]
 
 
+def weight_type(most: int) -> str:
+    return "<u1" if most < 1 << 8 else "<u4"
+
+
 def with_levels(
-    blocks: DataFrame, hashes: Callable[[pa.Table], np.ndarray], thresholds: Sequence[int], buckets: int
+    blocks: DataFrame,
+    hashes: Callable[[pa.Table], np.ndarray],
+    thresholds: Sequence[int],
+    buckets: int,
+    width: int = HASH_BYTES,
 ) -> DataFrame:
     """Stored ``block`` and ``notes`` of ``blocks``: for each distinct hash how many of the ``thresholds`` (ascending)
     its occurrences in all blocks reach. ``hashes`` gives a block's, as often as they occur.
 
-    Hashes are told apart by their bucket and 32 bits more; a level can only come out too high by that, never too low.
+    Hashes are told apart by their bucket and ``width`` bytes more; a level can only come out too high by that, never
+    too low. The text to a bucket is the same at every size, so this does not become more frequent with more text.
     """
     reached = np.asarray(thresholds)
+    most = max(thresholds)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload")):
-                yield Dealt(hashes(opened(payload)), buckets).sent(block)
+                yield Dealt(hashes(opened(payload)), buckets, width).sent(block, most)
 
     def settle(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(part, "<u4") for part in table.column("hashes").to_pylist()]
-        weights = np.frombuffer(b"".join(table.column("weights").to_pylist()), "<u2").astype(np.int64)
-        values = np.concatenate(parts)
+        parts = table.column("hashes").to_pylist()
+        weights = np.frombuffer(b"".join(table.column("weights").to_pylist()), weight_type(most)).astype(np.int64)
+        given = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, width)
+        wide = np.zeros((len(given), 4), np.uint8)
+        wide[:, :width] = given
+        values = wide.view("<u4").ravel()
         order = np.argsort(values)
         ordered = values[order]
         first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
@@ -152,7 +168,7 @@ def with_levels(
         level = np.searchsorted(reached, total, "right").astype(np.uint8)
         found = np.empty(len(values), np.uint8)
         found[order] = np.repeat(level, np.diff(np.r_[first, len(values)]))
-        edge = np.cumsum([0] + [len(part) for part in parts])
+        edge = np.cumsum([0] + [len(part) // width for part in parts])
         levels = [found[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])]
         return pa.table(
             {"block": table.column("block"), "bucket": table.column("bucket"), "levels": pa.array(levels, pa.binary())}

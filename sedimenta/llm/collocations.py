@@ -4,10 +4,11 @@ Only the longest windows are counted: from each word on, it and the next three,
 shorter phrase is a prefix of windows, so ROLLUP over the window's columns sums the counts of all orders, and of the
 language, at once; nothing is counted order by order.
 
-A window is padded earlier where it can hold no frequent phrase: all words and word pairs of a phrase are at least as
-frequent as the phrase, so a window ends before the first pair that is too rare, and a rare word counts towards the
-language only. How often words and pairs occur in the whole corpus is asked beforehand, by hashes (``blocks``); a hash
-that several share can only leave a window longer. Windows are added up per block before they are sent.
+A window is padded earlier where it holds no frequent phrase: every part of a phrase is at least as frequent as the
+phrase, so a window goes on only as long as it and its parts are frequent, and a rare word counts towards the language
+only. How often windows of each length occur in the whole corpus is asked beforehand, by short hashes (``blocks``); a
+hash that several share can only leave a window longer. What is counted is therefore about as much as there are frequent
+phrases, whatever the size of the corpus, and windows are added up per block before they are sent.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ WITHIN = 80
 TOP = 2000
 UNKNOWN = "und"
 SCALE = 2_000_000
+#: Bytes of a window's hash beside its bucket. A rare window passes for a frequent one if it shares them with one.
+HASH_BYTES = 3
 _BREAK = b"."
 # Bytes: A-Z to a-z, what ends a piece to a full stop, a tab to a space.
 _BYTES = bytes(
@@ -62,29 +65,39 @@ class Words:
             codes.append(np.full(len(found) + 1, languages[language]))
         self.word, self.language = np.concatenate(lists), np.concatenate(codes)
         self.words, self.languages = list(numbers), list(languages)
-        self.at = np.flatnonzero(self.word)
-        self.pairs = np.flatnonzero((self.word[:-1] != 0) & (self.word[1:] != 0))
         own = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
         of = np.fromiter((xxhash.xxh64_intdigest(name) for name in self.languages), np.uint64, len(self.languages))
-        base = own[self.word] + of[self.language] * _MIX[1]
-        single = _mixed(base[self.at])
-        double = _mixed(_mixed(base[self.pairs]) * _MIX[2] + own[self.word[self.pairs + 1]])
-        self.hashes = np.concatenate([single, double])
+        # Where a window of each length begins, and its hash, made of that of the window that is a word shorter.
+        self.at, hashes = [np.flatnonzero(self.word)], []
+        whole = _mixed(own[self.word] + of[self.language] * _MIX[1])
+        hashes.append(whole[self.at[0]])
+        for lead in range(1, ORDER):
+            at = self.at[-1]
+            at = at[self.word[at + lead] != 0]  # the last word is followed by a break
+            whole[at] = _mixed(whole[at] * _MIX[2] + own[self.word[at + lead]])
+            self.at.append(at)
+            hashes.append(whole[at])
+        self.hashes = np.concatenate(hashes)
 
     def windows(self, levels: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
         """Distinct longest windows: language, the words (0: none) and how often each occurs."""
-        frequent = np.zeros(len(self.word) + ORDER, bool)
-        frequent[self.at] = levels[: len(self.at)] > 0
-        goes_on = np.zeros(len(self.word) + ORDER, bool)
-        goes_on[self.pairs] = levels[len(self.at) :] > 0
-        goes_on[:-1] &= frequent[:-1] & frequent[1:]
-        padded = np.r_[self.word, np.zeros(ORDER, np.int64)]
-        there = frequent[self.at]
-        columns = [np.where(there, self.word[self.at], 0)]
+        first = self.at[0]
+        frequent = np.zeros((ORDER, len(self.word) + 1), bool)
+        begin = 0
+        for known, at in zip(frequent, self.at):
+            known[at] = levels[begin : begin + len(at)] > 0
+            begin += len(at)
+        there = frequent[0][first]
+        columns = [np.where(there, self.word[first], 0)]
         for lead in range(1, ORDER):
-            there = there & goes_on[self.at + lead - 1]
-            columns.append(np.where(there, padded[self.at + lead], 0))
-        language = self.language[self.at]
+            # Both parts that are a word shorter are frequent too; the first one is by what came before.
+            there = there & frequent[lead][first]
+            rest = first[there] + 1
+            there[there] = frequent[lead - 1][rest]
+            word = np.zeros(len(first), np.int64)
+            word[there] = self.word[first[there] + lead]
+            columns.append(word)
+        language = self.language[first]
         order = np.lexsort([*columns[::-1], language])
         keys = np.stack([language, *columns])[:, order]
         new = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)][: len(order)])
@@ -98,14 +111,14 @@ def longest_windows(docs: DataFrame, text: str = "text", lang: str = "lang", lea
     named = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("_lang"), F.col(text).alias("text"))
     blocks = packed(named, "_lang")
     buckets = buckets_for(blocks)
-    notes = with_levels(blocks, lambda table: Words(table).hashes, (least,), buckets)
+    notes = with_levels(blocks, lambda table: Words(table).hashes, (least,), buckets, HASH_BYTES)
     names = [f"w{nth}" for nth in range(1, ORDER + 1)]
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for payload, note in zip(batch.column("payload"), batch.column("notes")):
                 found = Words(opened(payload))
-                language, columns, n = found.windows(Dealt(found.hashes, buckets).levels(note.as_py()))
+                language, columns, n = found.windows(Dealt(found.hashes, buckets, HASH_BYTES).levels(note.as_py()))
                 words = pa.array([None, *found.words[1:]], pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
                     [
