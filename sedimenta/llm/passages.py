@@ -211,11 +211,12 @@ class BlindTrie:
                 yield node, common
 
 
-def _windows(data: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int, step: int = 1) -> np.ndarray:
-    """``width`` bytes from each beginning on, forwards or backwards; zeros beyond ``size``."""
-    nth = np.arange(width)
-    inside = nth < size[:, None]
-    return np.where(inside, data[np.clip(begin[:, None] + step * nth, 0, len(data) - 1)], np.uint8(0))
+def _windows(data: np.ndarray, begin: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """``width`` bytes from each beginning on; zeros beyond ``size``."""
+    padded = np.r_[data, np.zeros(width, np.uint8)]
+    rows = np.lib.stride_tricks.sliding_window_view(padded, width)[begin]
+    rows[np.arange(width, dtype=np.uint8) >= size[:, None].astype(np.uint8)] = 0
+    return rows
 
 
 def _characters(rows: np.ndarray) -> np.ndarray:
@@ -274,7 +275,7 @@ def owners(strings: bytes, sizes: np.ndarray, before: np.ndarray, docs: np.ndarr
     anchor = np.cumsum(sizes) - sizes + before
     after = sizes - before
     order, common = sorted_suffixes(_windows(data, anchor, after, GRAM), _windows(data, anchor + GRAM, after - GRAM, _TAIL))
-    ahead = _windows(data, anchor - 1, before, _BEFORE, -1)
+    ahead = _windows(data[::-1], len(data) - anchor, before, _BEFORE)
     back, _ = shallow(_characters(ahead))
     back_common = _common(ahead, back)
     together = np.empty(len(order), bool)
@@ -420,10 +421,12 @@ def _removed(
         nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         lost = least[np.repeat(base[entry[part]], n) + nth] < np.repeat(keys[found.text[part]], n)
         starts.append((np.repeat(found.start[part], n) + nth)[lost])
-    latest = np.full(len(data) + 1, -WINDOW, np.int64)
+    # A block has less than 2^31 bytes, as any Arrow value of this kind.
+    latest = np.full(len(data) + 1, -WINDOW, np.int32)
     starts = np.concatenate(starts)
     latest[starts] = starts
-    gone = np.arange(len(data) + 1) - np.maximum.accumulate(latest) < WINDOW
+    np.maximum.accumulate(latest, out=latest)
+    gone = np.arange(len(data) + 1, dtype=np.int32) - latest < WINDOW
     gone[-1] = False
     # Spans end with their text.
     opens = gone & ~np.r_[False, gone[:-1]]
