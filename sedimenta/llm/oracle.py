@@ -28,7 +28,7 @@ placed AS (
     FROM jumps WHERE j >= shards GROUP BY doc_id
 ),
 cells AS (
-    SELECT doc_id, ((state >> 33) % 4096)::INTEGER AS cell FROM jumps WHERE shards = 16 AND b = 0
+    SELECT doc_id, (state >> 33)::BIGINT AS drawn FROM jumps WHERE shards = 16 AND b = 0
 ),
 sized AS (
     SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 1 AS size,
@@ -39,7 +39,7 @@ sized AS (
     FROM documents, crc_table
 )
 SELECT s.doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard, grown_shard::INTEGER AS grown_shard,
-    row_number() OVER (PARTITION BY shard ORDER BY cell, s.doc_id, text_crc32, size) - 1 AS slot
+    row_number() OVER (PARTITION BY shard ORDER BY (drawn + text_crc32 + size) % 4096, s.doc_id, text_crc32, size) - 1 AS slot
 FROM sized s JOIN placed p ON s.doc_id IS NOT DISTINCT FROM p.doc_id JOIN cells c ON s.doc_id IS NOT DISTINCT FROM c.doc_id
 """
 

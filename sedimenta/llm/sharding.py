@@ -64,10 +64,11 @@ def jump(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, move, lambda state: state["shard"].cast("int"))
 
 
-def cell(key: Column, cells: int) -> Column:
-    """A part of a shard, from the generator's first state: even for keys with any regular pattern."""
+def cell(key: Column, crc: Column, size: Column, cells: int) -> Column:
+    """A part of a shard, from the generator's first state and the content: even for keys with any regular pattern, and
+    for one key with many texts."""
     high, _ = _step(*_halves(F.coalesce(key.cast("long"), F.lit(0).cast("long"))))
-    return (F.shiftright(high, 1) % cells).cast("int")
+    return ((F.shiftright(high, 1) + crc + size) % cells).cast("int")
 
 
 def assign(df: DataFrame, key: str = "doc_id", shards: int = SHARDS, into: str = "shard") -> DataFrame:
@@ -98,7 +99,7 @@ def placed(
             "*",
             jump(F.col("key"), shards).alias("shard"),
             jump(F.col("key"), shards + 1).alias("grown_shard"),
-            cell(F.col("key"), cells).alias("cell"),
+            cell(F.col("key"), F.col("crc"), F.col("size"), cells).alias("cell"),
         ),
         "shards",
     )

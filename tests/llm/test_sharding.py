@@ -53,6 +53,12 @@ def test_edge_rows(spark, tmp_path, monkeypatch):
     assert sorted(seen, key=str) == sorted(want, key=str)
 
 
+def test_a_hot_key_is_spread_over_the_cells(spark):
+    df = spark.range(2000).select(F.lit(7).cast("long").alias("key"), F.crc32(F.col("id").cast("string")).alias("crc"))
+    cells = df.select(sharding.cell(F.col("key"), F.col("crc"), F.lit(5), 4096).alias("cell")).distinct().count()
+    assert cells > 1000
+
+
 def test_empty_table(spark):
     assert sharding.placed(edge.frame(spark, [])).count() == 0
     assert "shard" in sharding.assign(edge.frame(spark, [])).columns
