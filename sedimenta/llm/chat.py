@@ -52,13 +52,14 @@ def windows(
     """One row per window: the conversation, ``window`` (increasing, with gaps), ``formatted``, ``fresh`` (characters
     before the first turn that is not repeated), ``loss`` (start and length of assistant texts, in characters).
 
-    The first turn is retained in every window if it is the system's. A span has the turns whose prefix sum lies in one
-    stride; the stride is what budget, history, system turn and longest turn leave, but not under the history. So a
-    window is within the budget wherever system turn, longest turn and two histories are; no turn is cut or dropped.
+    The first turn is retained in every window if it is the system's. A span has the turns that begin in one stride of
+    the prefix sums: what budget, system turn and history leave. Where its last turn would pass the budget, that turn is
+    a span of its own; where a span needs the history's room, the history is cut. So no window passes the budget, but for
+    one of a single turn that does so with the system turn; no turn is cut or dropped.
 
     NULL roles and texts count as empty, NULL turns come first, equal turn numbers go by role and text; repeated rows
     are turns of their own; extra columns play no part; a NULL conversation is one conversation. A conversation is one
-    task's rows while its prefix sums are made (streamed in order, spilling); windows are bounded by the stride.
+    task's rows while its prefix sums are made (streamed in order, spilling); windows are bounded by the budget.
     """
     rows = turns.select(
         F.col(conversation).alias("conversation"),
@@ -76,7 +77,6 @@ def windows(
     order = Window.partitionBy("conversation").orderBy("turn", "role", "text")
     begun = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # Of the first turn alone: NULL, and so no system turn, where another role begins.
     system = F.first(F.when(F.col("role") == "system", F.struct("piece", "tokens"))).over(begun)
     numbered = sized.select(
@@ -87,42 +87,71 @@ def windows(
         "head",
         F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("sum"),
         system.alias("system"),
-        F.max("tokens").over(whole).alias("longest"),
+        "tokens",
     )
-    kept = F.coalesce(F.col("system.tokens"), F.lit(0))
-    own_system = F.col("system").isNotNull() & (F.col("nth") == 1)
-    measured = numbered.select(
-        "*",
-        F.greatest(budget - history - kept - F.col("longest") + 1, F.lit(history)).alias("stride"),
-        F.when(own_system, 0).otherwise(F.col("sum") - kept).alias("before"),
+    kept = F.coalesce(F.col("system.tokens"), F.lit(0).cast("long"))
+    retained = F.col("system").isNotNull() & (F.col("nth") == 1)
+    # Half of the room at most is history, so that a turn is in the history of the next stride alone.
+    measured = (
+        numbered.withColumn("room", F.greatest(budget - kept, F.lit(0).cast("long")))
+        .withColumn("near", F.least(F.lit(history).cast("long"), F.floor(F.col("room") / 2)))
+        .select(
+            "*",
+            retained.alias("retained"),
+            F.greatest(F.col("room") - F.col("near"), F.lit(1).cast("long")).alias("stride"),
+            F.when(retained, 0).otherwise(F.col("sum") - kept).alias("before"),
+            F.when(retained, 0).otherwise(F.col("sum") - kept + F.col("tokens")).alias("after"),
+        )
     )
-    span = F.floor(F.col("before") / F.col("stride"))
-    ends_near = ~own_system & (F.col("before") + history >= (span + 1) * F.col("stride"))
-    placed = measured.withColumn(
-        "place",
-        F.explode(
-            F.when(
-                ends_near,
-                F.array(
-                    F.struct(span.alias("window"), F.lit(True).alias("own")),
-                    F.struct((span + 1).alias("window"), F.lit(False).alias("own")),
-                ),
-            ).otherwise(F.array(F.struct(span.alias("window"), F.lit(True).alias("own"))))
-        ),
+    cell = F.floor(F.col("before") / F.col("stride"))
+    ends_near = ~F.col("retained") & (F.col("before") + F.col("near") >= (cell + 1) * F.col("stride"))
+    own = F.struct(cell.alias("cell"), F.lit(True).alias("own"))
+    next_one = F.struct((cell + 1).alias("cell"), F.lit(False).alias("own"))
+    placed = measured.withColumn("place", F.explode(F.when(ends_near, F.array(own, next_one)).otherwise(F.array(own))))
+    member = F.struct("nth", F.col("place.own").alias("own"), "retained", "role", "piece", "head", "before", "after")
+    grouped = placed.groupBy("conversation", F.col("place.cell").alias("cell")).agg(
+        F.array_sort(F.collect_list(member)).alias("members"),
+        *[F.first(F.col(c)).alias(name) for c, name in (("system.piece", "system"), ("room", "room"), ("near", "near"))],
     )
-    member = F.struct("nth", F.col("place.own").alias("own"), "role", "piece", "head", "before")
-    grouped = placed.groupBy("conversation", F.col("place.window").alias("window")).agg(
-        F.array_sort(F.collect_list(member)).alias("members"), F.first("system.piece").alias("system")
+
+    def length(turns):
+        return F.element_at(turns, -1)["after"] - turns[0]["before"]
+
+    spans = grouped.withColumn("turns", F.filter("members", lambda m: m["own"])).where(F.size("turns") > 0)
+    n = F.size("turns")
+    parted = (length(F.col("turns")) > F.col("room")) & (n > F.when(F.col("turns")[0]["retained"], 2).otherwise(1))
+    whole = F.struct((2 * F.col("cell")).alias("window"), F.col("turns"))
+    rest = F.struct((2 * F.col("cell")).alias("window"), F.slice("turns", F.lit(1), F.greatest(n - 1, F.lit(0))).alias("turns"))
+    last = F.struct((2 * F.col("cell") + 1).alias("window"), F.slice("turns", n, F.lit(1)).alias("turns"))
+    each = spans.select(
+        "conversation",
+        "members",
+        "system",
+        "near",
+        "room",
+        F.explode(F.when(parted, F.array(rest, last)).otherwise(F.array(whole))).alias("span"),
     )
-    first = F.filter("members", lambda m: m["own"])[0]
-    near = F.filter("members", lambda m: m["own"] | (m["before"] >= first["before"] - history))
-    there = grouped.where(F.exists("members", lambda m: m["own"])).select(
+    turns_of = F.col("span.turns")
+    begin = turns_of[0]
+    reach = F.least("near", F.greatest(F.col("room") - length(turns_of), F.lit(0).cast("long")))
+    there = each.select(
         "conversation",
-        "window",
-        near.alias("members"),
-        F.when(F.col("window") > 0, F.coalesce("system", F.lit(""))).otherwise("").alias("system"),
+        F.col("span.window").alias("window"),
+        turns_of.alias("turns"),
+        F.concat(
+            F.when(begin["retained"], "").otherwise(F.coalesce("system", F.lit(""))),
+            F.array_join(
+                F.transform(
+                    F.filter(
+                        "members",
+                        lambda m: (m["nth"] < begin["nth"]) & ~m["retained"] & (m["before"] >= begin["before"] - reach),
+                    ),
+                    lambda m: m["piece"],
+                ),
+                "",
+            ),
+        ).alias("repeated"),
     )
-    repeated = F.array_join(F.transform(F.filter("members", lambda m: ~m["own"]), lambda m: m["piece"]), "")
 
     def masked(state, m):
         size = F.length(m["piece"])
@@ -131,18 +160,17 @@ def windows(
                 (state["at"] + m["head"]).alias("start"), (size - m["head"] - len(END)).alias("length")
             )
         )
-        trained = m["own"] & (m["role"] == "assistant")
-        spans = F.when(trained, F.concat(state["spans"], text)).otherwise(state["spans"])
+        spans = F.when(m["role"] == "assistant", F.concat(state["spans"], text)).otherwise(state["spans"])
         return F.struct((state["at"] + size).alias("at"), spans.alias("spans"))
 
     none = F.array().cast("array<struct<start: int, length: int>>")
-    begin = F.struct(F.length("system").alias("at"), none.alias("spans"))
+    start = F.struct(F.length("repeated").alias("at"), none.alias("spans"))
     return there.select(
         F.col("conversation").alias(conversation),
         "window",
-        F.concat("system", F.array_join(F.transform("members", lambda m: m["piece"]), "")).alias("formatted"),
-        F.length(F.concat("system", repeated)).alias("fresh"),
-        F.aggregate("members", begin, masked, lambda state: state["spans"]).alias("loss"),
+        F.concat("repeated", F.array_join(F.transform("turns", lambda m: m["piece"]), "")).alias("formatted"),
+        F.length("repeated").alias("fresh"),
+        F.aggregate("turns", start, masked, lambda state: state["spans"]).alias("loss"),
     )
 
 

@@ -59,24 +59,32 @@ sized AS (
 ),
 summed AS (
     SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s,
-        max(tokens) OVER c AS longest,
+        nth = 1 AND role = 'system' AS retained,
         coalesce(max(CASE WHEN nth = 1 AND role = 'system' THEN tokens END) OVER c, 0) AS kept,
         coalesce(max(CASE WHEN nth = 1 AND role = 'system' THEN chars END) OVER c, 0) AS kept_chars
     FROM sized WINDOW c AS (PARTITION BY conv_id)
 ),
-spans AS (
-    SELECT *, greatest(1024 - 192 - kept - longest + 1, 192) AS stride,
-        CASE WHEN nth = 1 AND role = 'system' THEN 0 ELSE s - kept END AS before, before // stride AS span
+begun AS (
+    SELECT *, greatest(1024 - kept, 0) AS room, least(192, room // 2) AS near, greatest(room - near, 1) AS stride,
+        CASE WHEN retained THEN 0 ELSE s - kept END AS before, CASE WHEN retained THEN 0 ELSE s - kept + tokens END AS after,
+        before // stride AS cell
     FROM summed
 ),
+spans AS (
+    SELECT *, 2 * cell + CASE WHEN max(after) OVER c - min(before) OVER c > room AND count(*) FILTER (NOT retained) OVER c > 1
+        AND nth = max(nth) OVER c THEN 1 ELSE 0 END AS span
+    FROM begun WINDOW c AS (PARTITION BY conv_id, cell)
+),
 starts AS (
-    SELECT conv_id, span, min(before) AS first, min(nth) AS nth, sum(chars) + CASE WHEN span > 0 THEN max(kept_chars) ELSE 0 END AS chars
+    SELECT conv_id, span, min(before) AS first, min(nth) AS nth, bool_or(retained) AS own_system,
+        least(max(near), greatest(max(room) - (max(after) - min(before)), 0)) AS reach,
+        sum(chars) + CASE WHEN bool_or(retained) THEN 0 ELSE max(kept_chars) END AS chars
     FROM spans GROUP BY conv_id, span
 ),
 repeats AS (
     SELECT a.conv_id, sum(b.chars) AS chars
-    FROM starts a JOIN spans b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND a.span = b.span + 1 AND b.before >= a.first - 192
-        AND NOT (b.nth = 1 AND b.role = 'system')
+    FROM starts a JOIN spans b ON a.conv_id IS NOT DISTINCT FROM b.conv_id AND b.nth < a.nth AND NOT b.retained
+        AND b.before >= a.first - a.reach
     GROUP BY a.conv_id
 ),
 texts AS (
