@@ -56,7 +56,7 @@ class _Segment:
     def __init__(self):
         self.ids: dict[bytes, int] = defaultdict(count().__next__)
         self.keys, self.lengths, self.starts, self.words = [], [], [], []
-        self.size = self.end = 0
+        self.size, self.end = 0, GAP  # a window around a document's first word may begin before it
 
     def add(self, key, text: bytes | None) -> None:
         words = words_of(text)
@@ -168,12 +168,13 @@ def _frequencies(index: DataFrame, vocabulary: dict[bytes, int]) -> np.ndarray:
     return frequency
 
 
-def search(segment: dict, phrases: Phrases, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Matches in a segment: window, position of its start, and whether each word stands exactly in its place."""
+def search(segment: dict, phrases: Phrases, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Matches in a segment: window, position of its start, position of its rarest word (which is in the match's document
+    although a near match may start before it), and whether each word stands exactly in its place."""
     local, term = _dictionary(segment["terms"], phrases.vocabulary)
     none = np.zeros(0, np.int64)
     if not len(term) or not len(phrases.terms):
-        return none, none, none.astype(bool)
+        return none, none, none, none.astype(bool)
     counts = np.frombuffer(segment["counts"], "<i4").astype(np.int64)
     begins = np.cumsum(counts) - counts
     gaps = np.frombuffer(segment["gaps"], "<i4")
@@ -190,10 +191,9 @@ def search(segment: dict, phrases: Phrases, slop: int) -> tuple[np.ndarray, np.n
     rarest = phrases.terms[whole, 0]
     window = np.repeat(whole, size[rarest])
     within = np.arange(len(window)) - np.repeat(np.cumsum(size[rarest]) - size[rarest], size[rarest])
-    start = positions[np.repeat(starts[rarest], size[rarest]) + within] - phrases.places[window, 0]
+    anchor = positions[np.repeat(starts[rarest], size[rarest]) + within]
+    start = anchor - phrases.places[window, 0]
     exact = np.ones(len(window), bool)
-    fits = start >= 0
-    window, start, exact = window[fits], start[fits], exact[fits]
     for k in range(1, phrases.terms.shape[1]):
         word = phrases.terms[window, k]
         wanted = word * span + start + phrases.places[window, k]
@@ -203,8 +203,8 @@ def search(segment: dict, phrases: Phrases, slop: int) -> tuple[np.ndarray, np.n
             at = np.searchsorted(postings, wanted)
             exact &= (word < 0) | ((at < len(postings)) & (postings[np.minimum(at, len(postings) - 1)] == wanted))
         near |= word < 0
-        window, start, exact = window[near], start[near], exact[near]
-    return window, start, exact
+        window, start, anchor, exact = window[near], start[near], anchor[near], exact[near]
+    return window, start, anchor, exact
 
 
 def _united(begin: np.ndarray, end: np.ndarray) -> list[dict]:
@@ -225,8 +225,8 @@ def _matches(index: DataFrame, phrases: Phrases, slop: int, item_type: T.DataTyp
         for batch in batches:
             rows = []
             for segment in batch.to_pylist():
-                window, start, exact = search(segment, phrases, slop)
-                document = np.searchsorted(np.array(segment["starts"]), start, side="right") - 1
+                window, start, anchor, exact = search(segment, phrases, slop)
+                document = np.searchsorted(np.array(segment["starts"]), anchor, side="right") - 1
                 for ordinal in np.unique(document):
                     here = document == ordinal
                     sure = here & exact

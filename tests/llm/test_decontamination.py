@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -77,6 +78,39 @@ def test_proximity(spark):
     }
 
 
+def near(text, items, frequency, width=13, slop=2):
+    """Items with a window whose words stand at most ``slop`` from their places around its rarest word."""
+    own, found = words(text), set()
+    for item, item_text in items:
+        w = words(item_text)
+        n = min(width, len(w))
+        for at in range(len(w) - n + 1 if n else 0):
+            window = w[at : at + n]
+            rarest = min(range(n), key=lambda k: (frequency[window[k]], k))
+            for i, word in enumerate(own):
+                if word == window[rarest] and all(
+                    window[k] in own[max(i - rarest + k - slop, 0) : max(i - rarest + k + slop + 1, 0)] for k in range(n)
+                ):
+                    found.add(item)
+    return found
+
+
+@pytest.mark.parametrize("segment", [1 << 19, 40])
+def test_proximity_against_brute_force(spark, monkeypatch, segment):
+    """Also at the start of documents and of segments, where a match may begin before its document."""
+    monkeypatch.setattr(decontamination, "SEGMENT_WORDS", segment)
+    docs, items = cases()
+    docs = [(5001, "zz one one", None, None, None), (5002, "two one three four", None, None, None), *docs]
+    docs += [(2000 + i, " ".join(words(text)[1:]), None, None, None) for i, text in items]
+    items = [*items, (95, "one two three four")]
+    frequency = Counter(word for _, text, *_ in docs for word in words(text))
+    df = edge.frame(spark, docs).coalesce(1)
+    out = decontamination.contamination(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = [(doc_id, sorted(near(text, items, frequency))) for doc_id, text, *_ in docs]
+    assert sorted(((r.doc_id, sorted(r.near_items)) for r in out), key=str) == sorted(want, key=str)
+    assert {r.doc_id: r.near_items for r in out}[5002] == [95]
+
+
 def test_matches_stay_in_their_document(spark):
     docs = spark.createDataFrame([(1, "one two"), (2, "three four")], "doc_id long, text string").coalesce(1)
     item = spark.createDataFrame([(7, "two three")], "item_id long, text string")
