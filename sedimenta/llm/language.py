@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from sedimenta.llm.store import send_package, without
 
@@ -173,27 +174,25 @@ def fold(key: str) -> Column:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", rows: int = SAMPLE_ROWS) -> Model:
-    """A model from at most ``rows`` labelled texts a language, of at most ``SAMPLE_CHARS`` characters, outside the
-    held-out part, drawn evenly by a hash.
+    """A model from at most ``rows`` different labelled texts a language, of at most ``SAMPLE_CHARS`` characters, outside
+    the held-out part, drawn evenly by a hash of the text.
 
-    The labels are counted over the whole table first, so that only about as many texts as are wanted reach the driver.
-    A NULL key is in no part and is not trained on.
+    The texts are counted over the whole table first (by sketches of fixed size), so that only about as many as are
+    wanted are shuffled, and no more reach the driver. Repeated rows and ids have no more weight than one. A NULL key is
+    in no part and is not trained on; equal scores of two languages go to the one that sorts first.
     """
-    labelled = docs.where(F.col(label).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & (fold(key) != 0))
-    counts = {row[0]: row[1] for row in labelled.groupBy(label).count().collect()}  # one row per language
-    draw = F.pmod(F.xxhash64(F.lit(11), F.col(key)), F.lit(1 << 40))
+    labelled = docs.where(F.col(label).isNotNull() & (F.length(text) <= SAMPLE_CHARS) & (fold(key) != 0)).select(
+        F.col(label).alias("label"), F.col(text).alias("text"), F.pmod(F.xxhash64(F.lit(11), F.col(text)), F.lit(1 << 40)).alias("draw")
+    )
+    sketched = labelled.groupBy("label").agg(F.approx_count_distinct("draw", 0.03))
     wanted = F.lit(False)
-    for language, n in sorted(counts.items()):
-        cut = min(int((1 << 40) * 1.1 * rows / n), 1 << 40)
-        wanted |= (F.col(label) == language) & (draw < cut)
-    sample = labelled.where(wanted).select(draw, label, text)
-    drawn = sorted(tuple(row) for row in sample.collect())
-    kept: dict[str, list[str]] = {language: [] for language in counts}
-    for _, language, value in drawn:
-        if len(kept[language]) < rows:
-            kept[language].append(value)
-    pairs = [(value, language) for language in sorted(kept) for value in kept[language]]
-    return train([value for value, _ in pairs], [language for _, language in pairs])
+    for language, n in sorted(tuple(row) for row in sketched.collect()):  # one row per language
+        cut = min(int((1 << 40) * 1.4 * rows / max(n, 1)), 1 << 40)
+        wanted |= (F.col("label") == language) & (F.col("draw") < cut)
+    order = Window.partitionBy("label").orderBy("draw", "text")
+    different = labelled.where(wanted).distinct().withColumn("nth", F.row_number().over(order))
+    drawn = sorted((row["label"], row["draw"], row["text"]) for row in different.where(F.col("nth") <= rows).collect())
+    return train([value for _, _, value in drawn], [language for language, _, _ in drawn])
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "language") -> DataFrame:

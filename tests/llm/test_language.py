@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import pytest
@@ -44,6 +45,42 @@ def test_edge_rows(spark):
     assert {row.language.lang for row in out if row.doc_id in (1, 6, 7)} == {"en", "xx"}
 
 
+def plain_logits(model, text):
+    """Mean of the class scores of a text's n-grams, word by word."""
+    folded = [low if len(low := c.lower()) == 1 else c for c in text]
+    spaced = " " + "".join(c if o.isalpha() else " " for c, o in zip(folded, text)) + " "
+    rows = []
+    for size in language.SIZES:
+        for at in range(len(spaced) - size + 1):
+            gram = spaced[at : at + size]
+            if " " in gram[1:-1] or gram == "  ":
+                continue
+            mixed = size
+            for c in gram:
+                mixed = ((mixed ^ ord(c)) * 16777619) % 2**32
+            rows.append(model.scores[(mixed ^ (mixed >> 15)) % language.BUCKETS].astype(float))
+    return sum(rows) / len(rows) + model.bias
+
+
+def test_scores_against_a_loop_over_subwords():
+    model = language.train([edge.prose(i, 30) for i in range(20)] + ["uno dos tres ñandú"] * 5, ["en"] * 20 + ["es"] * 5)
+    for text in ["One  two", "İstanbul ÉTÉ été-x", "a", "日本語 中文", edge.prose(4, 40) + "\n1 2 3"]:
+        assert abs(model.logits(text) - plain_logits(model, text)).max() < 1e-4
+        p = math.e ** (plain_logits(model, text) / model.temperature - max(plain_logits(model, text) / model.temperature))
+        assert abs(model.predict(text)[1] - max(p) / sum(p)) < 1e-4
+
+
+def test_one_id_and_hot_rows_keep_all_languages(spark, monkeypatch):
+    """One id for all rows, and one text that holds most of a language's rows."""
+    rows = [(1, f"hello word {i}", "en", None, 0) for i in range(40)] + [(1, f"hola mundo {i}", "es", None, 0) for i in range(40)]
+    rows += [(1, "hello again and again", "en", None, 0)] * 500
+    learned = {}
+    monkeypatch.setattr(language, "train", lambda texts, labels: learned.update(texts=texts, labels=labels))
+    language.fit(edge.frame(spark, rows), rows=20)
+    assert learned["labels"] == ["en"] * 20 + ["es"] * 20
+    assert len(set(learned["texts"])) == 40
+
+
 def test_whole_text_in_any_blocks(monkeypatch):
     model = language.train(["one two three"] * 5 + ["uno dos tres"] * 5, ["en"] * 5 + ["es"] * 5)
     text = edge.prose(3, 3000)
