@@ -533,7 +533,7 @@ FINAL = {
         WHERE sk_streamer <> -1 GROUP BY sk_streamer, nome_streamer, ano, mes""",
     "doc_avg_ticket": "SELECT CAST(SUM(valor) AS DOUBLE) / COUNT(valor) AS ticket_medio FROM fato_doacoes",
     "doc_avg_duration": """
-        SELECT ano, mes, CAST(SUM(duracao_minutos) AS DOUBLE) / COUNT(duracao_minutos) AS duracao_media_min
+        SELECT ano, mes, CAST(SUM(CAST(duracao_minutos AS DECIMAL(18,2))) AS DOUBLE) / COUNT(duracao_minutos) AS duracao_media_min
         FROM fato_transmissoes JOIN dim_tempo USING (sk_tempo) GROUP BY ano, mes""",
     "doc_platform_revenue_mrr": """
         SELECT nome_plataforma, CAST(COALESCE(d, 0) + COALESCE(m, 0) AS DOUBLE) AS receita_total

@@ -24,5 +24,10 @@ def minutes_between(start: Column, end: Column, digits: int = 2) -> Column:
     return F.round((seconds / F.lit(60.0)).cast("double"), digits)
 
 
+def exact_sum(measure: str, digits: int = 2) -> Column:
+    """The sum of a DOUBLE column of ``digits`` decimals, as a decimal: the same in whatever order rows are added."""
+    return F.sum(F.col(measure).cast(f"decimal(18,{digits})"))
+
+
 def hours(minutes: Column, digits: int = 1) -> Column:
-    return F.round(minutes / F.lit(60.0), digits)
+    return F.round(minutes / F.lit(60), digits).cast("double")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sedimenta.functions.calendar import months_of_key
-from sedimenta.functions.measures import percent_change, ratio
+from sedimenta.functions.measures import exact_sum, percent_change, ratio
 from sedimenta.operators.dimensional import known_members, orphan_counts
 from sedimenta.plans.marts import by_month, by_platform, per_streamer, sort_by
 
@@ -44,12 +44,12 @@ def donations_by_month(t: Tables) -> DataFrame:
 
 def top_games(t: Tables, k: int = 15) -> DataFrame:
     measures = ("pico_viewers", "duracao_minutos")
-    parts = [f(m).alias(f"_{n}_{m}") for m in measures for n, f in (("sum", F.sum), ("n", F.count))]
+    parts = [f(m).alias(f"_{n}_{m}") for m in measures for n, f in (("sum", exact_sum), ("n", F.count))]
     per_key = t["fato_transmissoes"].groupBy("sk_jogo").agg(F.count("*").alias("_rows"), *parts)
     named = per_key.join(t["dim_jogo"].select("sk_jogo", "nome_jogo"), "sk_jogo")
 
     def mean(measure):
-        return F.round(ratio(F.sum(f"_sum_{measure}"), F.sum(f"_n_{measure}")).cast("double"), 1)
+        return F.round(ratio(F.sum(f"_sum_{measure}").cast("double"), F.sum(f"_n_{measure}")), 1)
 
     games = named.groupBy("nome_jogo").agg(
         F.sum("_rows").alias("qtd_transmissoes"),
@@ -250,7 +250,8 @@ def average_ticket(t: Tables) -> DataFrame:
 def average_duration(t: Tables) -> DataFrame:
     """Mean broadcast length per month."""
     months = t["fato_transmissoes"].groupBy(*months_of_key(F.col("sk_tempo")))
-    return months.agg(F.avg("duracao_minutos").alias("duracao_media_min"))
+    mean = ratio(exact_sum("duracao_minutos").cast("double"), F.count("duracao_minutos"))
+    return months.agg(mean.alias("duracao_media_min"))
 
 
 def platform_revenue(t: Tables) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sedimenta.functions.measures import minutes_between, percent_change, ratio
+from sedimenta.functions.measures import exact_sum, hours, minutes_between, percent_change, ratio
 from sedimenta.operators import dimensional as dim
 from sedimenta.operators import joins
 from sedimenta.plans import analytics, marts, star
@@ -216,3 +216,14 @@ def test_objects_bring_what_they_need():
 
 def test_inputs_name_every_mart_and_object():
     assert set(star.INPUTS) == set(star.STAR) and set(marts.INPUTS) == set(marts.MARTS) == set(marts.ORDER)
+
+
+def test_sums_of_minutes_do_not_depend_on_the_order(spark):
+    rows = [(float(f"{n}.{n % 100:02}"),) for n in range(0, 3_000_000, 997)]
+    up, down = [
+        spark.createDataFrame(part, "m double").repartition(n).agg(exact_sum("m").alias("s"), hours(exact_sum("m")).alias("h")).first()
+        for part, n in ((rows, 3), (rows[::-1], 17))
+    ]
+    want = sum(Decimal(f"{n}.{n % 100:02}") for n in range(0, 3_000_000, 997))
+    assert up == down and up.s == want
+    assert up.h == float((want / 60).quantize(Decimal("0.1"), "ROUND_HALF_UP"))
