@@ -343,12 +343,12 @@ def presented_mart(spark, folder, name):
 def star_sql(spark, folder):
     """SQL over the registered star: donations per platform."""
     lake = lake_of(spark, folder)
-    register_star(spark, {name: lake[name] for name in ("fato_doacoes", "dim_streamer")})
+    register_star(spark, {name: lake[name] for name in ("fato_doacoes", "dim_streamer")}, prefix="star_sql_")
     return spark.sql(
         """
         SELECT s.nome_plataforma, SUM(f.valor) AS total_doacoes, SUM(f.qtd) AS qtd_doacoes
-        FROM (SELECT sk_streamer, SUM(valor) AS valor, COUNT(*) AS qtd FROM fato_doacoes GROUP BY sk_streamer) f
-        JOIN dim_streamer s ON s.sk_streamer = f.sk_streamer
+        FROM (SELECT sk_streamer, SUM(valor) AS valor, COUNT(*) AS qtd FROM star_sql_fato_doacoes GROUP BY sk_streamer) f
+        JOIN star_sql_dim_streamer s ON s.sk_streamer = f.sk_streamer
         GROUP BY s.nome_plataforma
         """
     )

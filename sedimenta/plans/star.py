@@ -217,10 +217,16 @@ def needed(objects: list[str]) -> tuple[list[str], list[str]]:
     return sorted(seen - set(STAR)), [name for name in STAR if name in seen]
 
 
-def build_gold(silver: Tables, objects: list[str] | None = None) -> dict[str, DataFrame]:
-    """Lazy star objects from silver tables: those asked for, built on whatever else they need."""
+def build_gold(silver: Tables, objects: list[str] | None = None, rows: Rows | None = None) -> dict[str, DataFrame]:
+    """Lazy star objects from silver tables: those asked for, built on whatever else they need.
+
+    ``rows`` are counted rows of the silver tables, as ``stored_counts`` gives them; without them every lookup takes the
+    way for large tables. An object has at most one row more than the table it is made from, the unknown member.
+    """
     wanted = select_names(STAR, objects)
-    tables = dict(silver)
+    tables, counted = dict(silver), dict(rows or {})
     for name in needed(wanted)[1]:
-        tables[name] = STAR[name](tables, {})
+        tables[name] = STAR[name](tables, counted)
+        if name != "dim_tempo" and INPUTS[name][0] in counted:
+            counted[name] = counted[INPUTS[name][0]] + 1
     return {name: tables[name] for name in wanted}

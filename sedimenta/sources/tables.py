@@ -87,10 +87,11 @@ def read_table(
     return without_audit(df, layer) if drop_audit else df
 
 
-def register_star(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
-    """Temporary views, so that SQL can be run on the star and the marts."""
+def register_star(spark: SparkSession, tables: dict[str, DataFrame], prefix: str = "") -> None:
+    """Temporary views, so that SQL can be run on the star and the marts. A ``prefix`` keeps them apart from the
+    session's own views."""
     for name, df in tables.items():
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(prefix + name)
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

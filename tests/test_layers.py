@@ -132,7 +132,11 @@ def test_lazy_star_equals_the_stored_one(spark, finished):
     silver = {name: tables.read_table(spark, root, "silver", name) for name in SPECS}
     built = star.build_gold(silver, ["fato_visualizacoes", "dim_tempo"])
     assert list(built) == ["dim_tempo", "fato_visualizacoes"]
-    for name, df in built.items():
+    counts = tables.stored_counts(spark, {name: tables.table_path(root, "silver", name) for name in SPECS}).collect()
+    sized = star.build_gold(silver, ["fato_visualizacoes"], {row.tabela: row.linhas for row in counts})
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (built["fato_visualizacoes"], sized["fato_visualizacoes"])]
+    assert "approx_top_k" in plans[0] and "approx_top_k" not in plans[1]
+    for name, df in [*built.items(), *sized.items()]:
         stored = tables.read_table(spark, root, "gold", name).select(df.columns)
         assert sorted(df.collect(), key=repr) == sorted(stored.collect(), key=repr)
 
