@@ -44,8 +44,7 @@ WIDE = {
     "colon": (r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])", ":"),
 }
 KINDS = [*BASE, *WIDE]
-#: Most candidates that the trees are trained and calibrated on, and the share of chosen ones that must be confirmed.
-SAMPLE = 20_000
+#: The share of chosen candidates that must be confirmed.
 PRECISION = 0.99
 TREES, DEPTH = 6, 4
 CONTEXT = 24
@@ -180,12 +179,6 @@ def _addable(rows: DataFrame) -> DataFrame:
     return rows.withColumn("sure", sure).select("row", F.posexplode(free).alias("nth", "c")).select("row", "nth", "c.*")
 
 
-def _drawn(each: DataFrame, *by: str) -> DataFrame:
-    """At most about ``SAMPLE`` rows, drawn evenly by a hash."""
-    share = min(1.0, SAMPLE / max(each.count(), 1))
-    return each.where(F.pmod(F.xxhash64(F.lit(5), *by), F.lit(1 << 40)) < int((1 << 40) * share))
-
-
 def _labelled(rows: DataFrame) -> DataFrame:
     """Candidates of the wide kinds with ``label``, from evidence other than that a base span overlaps them.
 
@@ -196,7 +189,7 @@ def _labelled(rows: DataFrame) -> DataFrame:
     are the end of one sentence and the start of another.
     """
     sure = rows.select("row", F.posexplode(F.filter("candidates", lambda c: c["base"])).alias("nth", "c"))
-    seeds = _drawn(sure, "row", "nth").select("row", "nth", "c.kind", "c.lead", "c.value", "c.trail")
+    seeds = sure.select("row", "nth", "c.kind", "c.lead", "c.value", "c.trail")
     value, digits = F.col("value"), F.regexp_replace("value", "[^0-9]", "")
     local, host = F.substring_index(value, "@", 1), F.substring_index(value, "@", -1)
     mask = F.pmod(F.xxhash64("row", "nth"), F.lit(3))
@@ -251,7 +244,16 @@ def _labelled(rows: DataFrame) -> DataFrame:
     made = found.where(within & ~F.col("c.base")).select("row", "nth", "c.*", F.col("seed.label").alias("label"))
     unlike = ~F.col("digits").between(10, 15) | (F.col("separators") == 0) | (F.col("left") + F.col("right") > 0)
     other = _addable(rows).where((F.col("kind") == "number") & unlike)
-    return made.unionByName(_drawn(other, "row", "nth").withColumn("label", F.lit(0.0)))
+    return made.unionByName(other.withColumn("label", F.lit(0.0)))
+
+
+def _counted(labelled: DataFrame) -> DataFrame:
+    """How often each kind, label, ``fold`` and combination of features occurs, as ``weight``.
+
+    Features are small integers and repeat: the trees see every labelled candidate, as the weight of its like.
+    """
+    folded = labelled.withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "row", "nth", "label"), F.lit(4)))
+    return folded.groupBy("kind", "label", "fold", *FEATURES).agg(F.count(F.lit(1)).cast("double").alias("weight"))
 
 
 def _lowest(bins: list) -> float | None:
@@ -268,21 +270,21 @@ def _lowest(bins: list) -> float | None:
 def choose(rows: DataFrame) -> DataFrame | None:
     """``row`` and ``chosen``: wide candidates that the trees of their kind score above the kind's calibrated threshold.
 
-    The trees learn from at most ``SAMPLE`` confirmed spans, rewritten right and wrong, and as many other candidates. A
-    kind is added from the lowest score at which, among its held-out candidates, ``PRECISION`` of those above are right;
+    The trees learn from all confirmed spans, rewritten right and wrong, and all other candidates with a label, three in
+    four of them; the threshold is counted over the rest. A kind is added from the lowest score at which, among its
+    held-out candidates, ``PRECISION`` of those above are right;
     not at all if there is no such score or there are not both right and wrong ones to learn from. None for no kind.
     """
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    sample = assembler.transform(_labelled(rows)).withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "row", "nth", "label"), F.lit(4)))
-    fitted = stored(sample.select("kind", "features", "label", "fold"), "candidates-sample")
+    fitted = assembler.transform(stored(_counted(_labelled(rows)), "candidates-labelled"))
     seen = fitted.groupBy("kind").agg(*[F.count_distinct(F.when(c, F.col("label"))) for c in (F.expr("fold > 0"), F.expr("fold = 0"))])
     chance = vector_to_array("probability")[1]
     each, scored = assembler.transform(_addable(rows)), []
     for kind in sorted(kind for kind, learnt, held in seen.collect() if learnt == 2 and held):
-        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3, checkpointInterval=-1)
+        trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=3, checkpointInterval=-1, weightCol="weight")
         model = trees.fit(fitted.where((F.col("fold") > 0) & (F.col("kind") == kind)))
         held = model.transform(fitted.where((F.col("fold") == 0) & (F.col("kind") == kind)))
-        bins = held.groupBy(F.floor(chance * 100).alias("p")).agg(F.sum("label"), F.count("label")).collect()  # at most 101
+        bins = held.groupBy(F.floor(chance * 100).alias("p")).agg(F.sum(F.col("label") * F.col("weight")), F.sum("weight")).collect()  # at most 101
         threshold = _lowest(bins)
         if threshold is not None:
             scored.append(model.transform(each.where(F.col("kind") == kind)).where(chance >= threshold).select("row", "kind", "start", "stop"))

@@ -150,3 +150,12 @@ def test_recall_and_precision_on_planted_forms(spark):
     """The forms that the rewriting was made for, among the decoys that its faults were made for."""
     for n, hit, added, right in measured(spark, "known").values():
         assert hit >= 0.9 * n > 0 and right >= 0.9 * added
+
+
+def test_all_labelled_candidates_count(spark):
+    """No kind is learnt from a part of its confirmed spans or of its other candidates."""
+    docs = spark.range(250).selectExpr("id as doc_id", "repeat(concat('mail a', id, '@b.com order 12 by '), 100) as text")
+    labelled = pii._labelled(pii.candidates(docs))
+    counts = {tuple(row)[:2]: row.weight for row in pii._counted(labelled).groupBy("kind", "label").agg({"weight": "sum"}).toDF("kind", "label", "weight").collect()}
+    assert counts["address", 1.0] >= 25_000
+    assert sum(counts.values()) == labelled.count()
