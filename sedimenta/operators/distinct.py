@@ -21,27 +21,40 @@ def member_sets(df: DataFrame, member: str, *by: str) -> DataFrame:
     seen = df.where(key > 0).select(
         *by, F.bitmap_bucket_number(key).alias("bucket"), F.bitmap_bit_position(key).alias("_position")
     )
-    positions = F.collect_list(F.col("_position").cast("smallint")).alias("positions")
-    sets = seen.distinct().groupBy(*by, "bucket").agg(positions, F.bitmap_construct_agg("_position").alias("bitmap"))
-    few = F.size("positions") <= FEW
-    return sets.select(
-        *by, "bucket", F.when(few, F.array_sort("positions")).alias("positions"), F.when(~few, F.col("bitmap")).alias("bitmap")
-    )
+    return _packed(_gathered(seen.distinct(), *by), *by)
 
 
 def merged_sets(sets: DataFrame, *by: str) -> DataFrame:
-    """``by``, ``bucket`` and ``bitmap``: the sets of finer groups as one. Positions move as such; they become a bitmap
-    where all of a container's have come together."""
+    """``by``, ``bucket`` and either ``positions`` or ``bitmap``: the sets of finer groups as one. Positions move as such;
+    they become a bitmap where many of a container's have come together, or meet one."""
     few = sets.where(F.col("positions").isNotNull()).select(
-        *by, "bucket", F.explode(F.col("positions").cast("array<bigint>")).alias("_position"), F.lit(None).cast("binary").alias("bitmap")
-    )
-    many = sets.where(F.col("bitmap").isNotNull()).select(*by, "bucket", F.lit(None).cast("long").alias("_position"), "bitmap")
-    together = few.distinct().unionByName(many).repartition(*by, "bucket").groupBy(*by, "bucket")
-    both = together.agg(
-        F.bitmap_construct_agg("_position").alias("_few"), F.bitmap_or_agg("bitmap").alias("_many")
+        *by, "bucket", F.explode(F.col("positions").cast("array<bigint>")).alias("_position")
     )
-    each = both.select(*by, "bucket", F.explode(F.array("_few", "_many")).alias("bitmap"))
-    return each.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    many = sets.where(F.col("bitmap").isNotNull()).groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    sparse = _gathered(few.distinct(), *by).withColumn("bitmap", F.lit(None).cast("binary"))
+    dense = many.select(*by, "bucket", F.lit(None).cast("array<smallint>").alias("positions"), "bitmap")
+    # At most one row of either form a container.
+    both = sparse.unionByName(dense).groupBy(*by, "bucket")
+    return _packed(both.agg(F.max("positions").alias("positions"), F.max("bitmap").alias("bitmap")), *by)
+
+
+def _gathered(seen: DataFrame, *by: str) -> DataFrame:
+    """Distinct positions as one array a container."""
+    return seen.groupBy(*by, "bucket").agg(F.collect_list(F.col("_position").cast("smallint")).alias("positions"))
+
+
+def _packed(sets: DataFrame, *by: str) -> DataFrame:
+    """Containers with few positions as they are, all others as one bitmap each. Bitmaps are made for those others alone:
+    one takes 4 KB, however few its members."""
+    mixed = sets if "bitmap" in sets.columns else sets.withColumn("bitmap", F.lit(None).cast("binary"))
+    few = F.col("bitmap").isNull() & (F.size("positions") <= FEW)
+    rest = mixed.where(~few)
+    position = F.explode(F.col("positions").cast("array<bigint>")).alias("_position")
+    made = rest.select(*by, "bucket", position).groupBy(*by, "bucket").agg(F.bitmap_construct_agg("_position").alias("bitmap"))
+    given = rest.where(F.col("bitmap").isNotNull()).select(*by, "bucket", "bitmap")
+    whole = made.unionByName(given).groupBy(*by, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+    sparse = mixed.where(few).select(*by, "bucket", F.array_sort("positions").alias("positions"), "bitmap")
+    return sparse.unionByName(whole.select(*by, "bucket", F.lit(None).cast("array<smallint>").alias("positions"), "bitmap"))
 
 
 def set_sizes(sets: DataFrame, out: str, *by: str) -> DataFrame:

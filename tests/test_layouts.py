@@ -65,6 +65,17 @@ def test_hot_group_moves_as_sets(spark, capsys):
     assert distinct.set_sizes(sets, "n", "a").where("a = 1").first().n == 7
 
 
+def test_sparse_containers_move_no_bitmaps(spark):
+    """A merged container stays as positions while they are few; one that meets a bitmap is one bitmap."""
+    rows = spark.range(9_000).selectExpr("if(id < 3000, 0, id) a", "if(id < 3000, id, id % 50) + 1 v")
+    sets = distinct.member_sets(rows, "v", "a")
+    assert sets.where("a > 0 and bitmap is not null").count() == 0 and sets.where("a = 0 and bitmap is not null").count() == 1
+    merged = distinct.merged_sets(sets, "a")
+    assert merged.where("a > 0 and positions is null").count() == 0
+    assert distinct.set_sizes(distinct.merged_sets(sets), "n").first().n == 3000
+    assert distinct.merged_sets(sets).where("positions is null").count() == 1
+
+
 def test_no_members(spark):
     sets = distinct.member_sets(spark.createDataFrame([], "a int, v long"), "v", "a")
     assert distinct.set_sizes(distinct.merged_sets(sets, "a"), "n", "a").count() == 0
