@@ -277,6 +277,21 @@ def test_shuffles_start_as_wide_as_the_data(spark, folder, monkeypatch):
         spark.conf.unset(sizing.INITIAL)
 
 
+def test_tasks_stay_small_as_the_data_grows(spark, folder):
+    """A task's share of a shuffle or scan is bounded; a session's own smaller one is left, and all is put back."""
+    spark.range(10).write.parquet(f"{folder}/t")
+    advisory, scanned = sizing.TASK_BYTES
+    assert [sizing.fine_partitions_for(n) for n in (0, 1, 1 << 30, 6 << 30, 100 << 40)] == [0, 1, 64, 384, 409_600]
+    assert [sizing.setting_bytes(text) for text in ("64MB", "8m", "1024", "1g", "134217728b")] == [64 << 20, 8 << 20, 1024, 1 << 30, 128 << 20]
+    before = [spark.conf.get(name) for name in (advisory, scanned)]
+    with sizing.kept_shuffles(spark):
+        spark.conf.set(advisory, "64MB")
+        spark.conf.set(scanned, "8m")
+        sizing.size_shuffles(spark, folder)
+        assert sizing.setting_bytes(spark.conf.get(advisory)) == 16 << 20 and spark.conf.get(scanned) == "8m"
+    assert [spark.conf.get(name) for name in (advisory, scanned)] == before
+
+
 def test_work_on_a_folder_is_done_once(spark, folder):
     lake, calls = Lake(spark, folder, None), []
     assert lake.once("a", lambda root: calls.append(root) or root) == f"{folder}/a" == lake.once("a", calls.append)
