@@ -22,9 +22,9 @@ def quarantine_path(root: str, name: str) -> str:
 
 
 def write_table(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
+    df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (), compression: str | None = None
 ) -> None:
-    """Replaces the table, its schema included.
+    """Replaces the table, its schema included. ``compression`` of the files is the session's by default.
 
     Files are written beside the table and take its place once all are there: a write that fails leaves the table as it
     was, and readers see the old one until then. The old one is kept until the next write has succeeded.
@@ -35,6 +35,8 @@ def write_table(
     if fmt == "delta":
         writer.option("overwriteSchema", "true").save(path)
         return
+    if compression:
+        writer = writer.option("compression", compression)
     fresh = _beside(path, f"_writing-{uuid.uuid4().hex}")
     try:
         writer.save(fresh)

@@ -90,6 +90,35 @@ def test_hot_and_missing_keys_are_spread(spark, skewed, customers):
             spark.conf.set(name, value)
 
 
+def test_lookup_moves_no_copy_of_the_key(spark, skewed, customers, capsys):
+    """The fact's rows are dealt by an expression, so its shuffle carries its own columns and what hot keys found."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = dim.map_surrogate(skewed, customers, "id_cliente", "id_cliente", "sk_cliente", spread_by=("id_fato",))
+        capsys.readouterr()
+        out.explain("formatted")
+        text = capsys.readouterr().out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    inputs = [line for at, line in zip(text.splitlines(), text.splitlines()[1:]) if ") Exchange" in at]
+    moved = [line.split(": [", 1)[1].rstrip("]").split(", ") for line in inputs if "id_fato" in line]
+    assert [sorted(c.split("#")[0] for c in columns) for columns in moved] == [["_h__sk", "_hot", "id_cliente", "id_fato", "valor"]]
+
+
+def test_lookup_where_the_hash_of_a_settled_row_is_a_key(spark):
+    """Rows that are dealt by a hash which is a key of the other side, their own or another's, find what their key has."""
+    n = F.col("id")
+    left = spark.range(2_000).select(n.alias("n"), F.when(n % 2 == 0, F.lit(5)).when(n % 4 == 1, n).cast("long").alias("k"))
+    hashes = left.select(F.xxhash64("n").alias("k"))
+    right = left.select("k").where("k is not null").union(hashes).distinct().select("k", F.col("k").cast("string").alias("v"))
+    # Rows whose key is the hash that they themselves are dealt by, too.
+    both = left.union(left.select("n", F.xxhash64("n")))
+    rows = joins.lookup_join(both, right, "k", "k", spread_by=("n",)).collect()
+    assert len(rows) == 4_000
+    assert all(r.v == (None if r.k is None else str(r.k)) for r in rows)
+
+
 def test_hot_keys_are_found_and_bounded(skewed):
     found = {r[0] for r in joins.hot_keys(skewed, "id_cliente").collect()}
     assert {5, 77_777} <= found and None not in found

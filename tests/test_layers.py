@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -292,6 +294,13 @@ def test_tasks_stay_small_as_the_data_grows(spark, folder):
     assert [spark.conf.get(name) for name in (advisory, scanned)] == before
 
 
+def test_stored_layers_are_written_compressed(spark, folder):
+    lake = Lake(spark, folder, source(spark))
+    lake.build("dim_plataforma")
+    files = [name for _, _, names in os.walk(folder) for name in names if name.startswith("part-")]
+    assert len(files) >= 2 and all(name.endswith(".zstd.parquet") for name in files)
+
+
 def test_work_on_a_folder_is_done_once(spark, folder):
     lake, calls = Lake(spark, folder, None), []
     assert lake.once("a", lambda root: calls.append(root) or root) == f"{folder}/a" == lake.once("a", calls.append)
