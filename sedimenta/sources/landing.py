@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sedimenta.operators.quality import as_bronze
 from sedimenta.sources.tables import mark_path, path_exists
@@ -11,6 +12,8 @@ from sedimenta.sources.tables import mark_path, path_exists
 DEFAULT_SCHEMA = "public"
 # Marks a folder of which the values are escaped.
 ESCAPED = "_escaped"
+# Types of which no value has a backslash or a line break as text.
+PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def landing_path(root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA) -> str:
@@ -24,8 +27,7 @@ def write_landing(df: DataFrame, root: str, table: str, day: str, schema: str =
     a line and files can be split between tasks; a mark in the folder tells ``read_landing_csv`` to turn them back. A rerun for the same day replaces the folder. Readers see it only once the write is committed.
     """
     path = landing_path(root, table, day, schema)
-    text = as_bronze(df)
-    text.select(*[escaped(F.col(name)).alias(name) for name in text.columns]).write.mode("overwrite").csv(
+    as_bronze(df).select(*[landed_text(field) for field in df.schema.fields]).write.mode("overwrite").csv(
         path,
         header=True,
         escape='"',
@@ -37,6 +39,12 @@ def write_landing(df: DataFrame, root: str, table: str, day: str, schema: str =
     return path
 
 
+def landed_text(field: T.StructField) -> Column:
+    """A column's text as landing files hold it: escaped unless its type leaves nothing to escape."""
+    text = F.col(field.name)
+    return text if isinstance(field.dataType, PLAIN) else escaped(text).alias(field.name)
+
+
 def escaped(text: Column) -> Column:
     """Line breaks and backslashes as a backslash and a letter."""
     return F.replace(F.replace(F.replace(text, *_pair("\\", "\\s")), *_pair("\n", "\\n")), *_pair("\r", "\\r"))

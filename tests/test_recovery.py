@@ -69,6 +69,21 @@ def test_landing_keeps_every_character(spark, folder, text):
     assert got == {"1": text, "2": "next"}
 
 
+def test_only_text_is_escaped(spark, folder):
+    """Numbers, dates, times and booleans have nothing to escape; nested values may."""
+    df = spark.createDataFrame([(1,)], "id long").select(
+        "id", F.lit(-1.5).alias("n"), F.lit(True).alias("b"), F.lit("2024-01-02 03:04:05").cast("timestamp_ntz").alias("t"),
+        F.lit("2024-01-02").cast("date").alias("d"), F.lit("a\\\n").alias("s"), F.array(F.lit("x\\\ny")).alias("a"),
+    )
+    path = landing.write_landing(df, folder, "t", DAY)
+    row = landing.read_landing_csv(spark, path).first()
+    assert row.asDict() == {
+        "id": "1", "n": "-1.5", "b": "True", "t": "2024-01-02 03:04:05", "d": "2024-01-02", "s": "a\\\n", "a": "[x\\\ny]"
+    }
+    touched = [name for name, kind in df.dtypes if "replace" in str(landing.landed_text(df.schema[name]))]
+    assert touched == ["s", "a"]
+
+
 def test_files_of_other_writers_are_read_as_they_are(spark, folder):
     with open(f"{folder}/x.csv", "w") as out:
         out.write("a\n\\n\n")
