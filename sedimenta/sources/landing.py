@@ -12,6 +12,10 @@ from sedimenta.sources.tables import mark_path, path_exists
 DEFAULT_SCHEMA = "public"
 # Marks a folder of which the values are escaped.
 ESCAPED = "_escaped"
+# Of files written here: they take less than half the room. Compressed files are not split, so none gets more rows than
+# one task should have. The level is the fastest, since the next one but a few saves little more.
+COMPRESSION = "gzip"
+FILE_ROWS = 1_000_000
 # Types of which no value has a backslash or a line break as text.
 PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -20,15 +24,21 @@ def landing_path(root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA)
     return f"{root.rstrip('/')}/extraction_date={day}/{schema}__{table}"
 
 
-def write_landing(df: DataFrame, root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA) -> str:
+def write_landing(
+    df: DataFrame, root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA, compression: str = COMPRESSION
+) -> str:
     """All columns as text with a header; quotes inside a value are doubled, NULL and '' are both empty.
 
     Line breaks inside values are written as backslash and letter (and a backslash as backslash and s), so that a row is
-    a line and files can be split between tasks; a mark in the folder tells ``read_landing_csv`` to turn them back. A rerun for the same day replaces the folder. Readers see it only once the write is committed.
+    a line; a mark in the folder tells ``read_landing_csv`` to turn them back. Files are ``.csv.gz``, of at most
+    ``FILE_ROWS`` rows; with ``compression`` "none" they are ``.csv``, for others that read them. A rerun for the same day replaces the folder. Readers see it only once the write is committed.
     """
     path = landing_path(root, table, day, schema)
-    as_bronze(df).select(*[landed_text(field) for field in df.schema.fields]).write.mode("overwrite").csv(
+    as_bronze(df).select(*[landed_text(field) for field in df.schema.fields]).write.mode("overwrite").options(
+        **{"maxRecordsPerFile": FILE_ROWS, "zlib.compress.level": "BEST_SPEED"}
+    ).csv(
         path,
+        compression=compression,
         header=True,
         escape='"',
         emptyValue="",
@@ -63,7 +73,7 @@ def _pair(search: str, replacement: str) -> tuple[Column, Column]:
 def landed_path(spark: SparkSession, root: str, table: str, day: str, schema: str = DEFAULT_SCHEMA) -> str:
     """The table's folder, or the single CSV file that another writer left in its place."""
     path = landing_path(root, table, day, schema)
-    return path if path_exists(spark, path) or not path_exists(spark, f"{path}.csv") else f"{path}.csv"
+    return next((f"{path}{end}" for end in ("", ".csv", ".csv.gz") if path_exists(spark, f"{path}{end}")), path)
 
 
 def read_landing_csv(
@@ -90,8 +100,8 @@ def read_landing_csv(
 
 
 def table_name(path):
-    """'.../public__streamers/part-0.csv' or '.../public__streamers.csv' to 'streamers'."""
-    return F.regexp_extract(path, "/[^/]*?__([^/.]+)(?:/[^/]*)?(?:[.]csv)?$", 1)
+    """'.../public__streamers/part-0.csv' or '.../public__streamers.csv' to 'streamers'; '.gz' may follow."""
+    return F.regexp_extract(path, "/[^/]*?__([^/.]+)(?:/[^/]*)?(?:[.]csv(?:[.]gz)?)?$", 1)
 
 
 def discover_landing(
@@ -100,7 +110,7 @@ def discover_landing(
     """(tabela, path, bytes) of the CSV files of one extraction day; lists files without reading them."""
     files = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", "*.{csv,csv.gz}")
         .option("recursiveFileLookup", "true")
         .load(f"{root.rstrip('/')}/extraction_date={day}")
     )

@@ -78,7 +78,8 @@ class RetailSource:
             F.when(turn == 0, " Gratis ").when(turn == 1, "assinante").otherwise("vip").alias("disponivel_para"),
         )
 
-    def _orders_with_items(self) -> DataFrame:
+    def _orders_with_items(self, *columns) -> DataFrame:
+        """``columns`` of the orders, made before the join, so that it moves them as narrow as they end up."""
         # The items' aggregate is keyed by the shifted id, not by l_orderkey itself: both join inputs
         # are then plain shuffles, which adaptive execution can split if one order id is hot.
         items = (
@@ -87,17 +88,20 @@ class RetailSource:
             .agg(F.min("l_suppkey").alias("_sk"), F.min("l_partkey").alias("_pk"), F.max("l_shipdate").alias("_fim"))
             .select(_next_id("l_orderkey", "_id"), "_sk", "_pk", "_fim")
         )
-        orders = self.read("orders").withColumn("_id", F.col("o_orderkey") + 1)
+        orders = self.read("orders").select((F.col("o_orderkey") + 1).alias("_id"), *columns)
         return orders.join(items, "_id", "left")
 
     def _transmissoes(self) -> DataFrame:
-        return self._orders_with_items().select(
+        orders = self._orders_with_items(
+            F.col("o_orderdate").alias("data_inicio"), F.floor("o_totalprice").cast("int").alias("pico_viewers")
+        )
+        return orders.select(
             F.col("_id").alias("id_transmissao"),
             _next_id("_sk", "id_streamer"),
             _next_id("_pk", "id_jogo"),
-            F.col("o_orderdate").alias("data_inicio"),
+            "data_inicio",
             F.col("_fim").alias("data_fim"),
-            F.floor("o_totalprice").cast("int").alias("pico_viewers"),
+            "pico_viewers",
         )
 
     def _items_with_orders(self) -> DataFrame:
@@ -135,15 +139,22 @@ class RetailSource:
             .otherwise("none")
         )
         price = F.when(priority == "5-LOW", F.lit(0.0)).otherwise(F.col("o_totalprice"))
-        return self._orders_with_items().select(
-            F.col("_id").alias("id_assinatura"),
+        orders = self._orders_with_items(
             _next_id("o_custkey", "id_viewer"),
-            _next_id("_sk", "id_streamer"),
             tier.alias("tipo"),
             day.alias("data_inicio"),
             F.when(F.col("o_orderstatus") == "F", F.date_add(day, 30)).alias("data_fim"),
             price.cast("decimal(8,2)").alias("valor_mensal"),
         )
+        return orders.select(
+            F.col("_id").alias("id_assinatura"),
+            "id_viewer",
+            _next_id("_sk", "id_streamer"),
+            "tipo",
+            "data_inicio",
+            "data_fim",
+            "valor_mensal",
+        )
 
     def _doacoes(self) -> DataFrame:
         returned = self._items_with_orders().where(F.col("l_returnflag") == "R")

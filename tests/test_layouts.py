@@ -353,3 +353,45 @@ def test_export_counts_come_with_the_rows(spark, folder):
 def test_new_queries_are_registered():
     wanted = "kpi4_true_viewers_by_platform doc_unique_viewers_rollup fato_doacoes_month quarantine_all dedup_isolated sk_by_name lookup_by_name fato_visualizacoes_bucketed clustered_scan rowcount_footer run_resumed landing_foreign layer_types"
     assert set(wanted.split()) <= set(registered())
+
+
+def test_orders_move_as_narrow_as_they_end_up(spark, folder, capsys):
+    """Joined to their items, orders carry the columns asked for, not those that these are made from."""
+    orders = [(1, 5, "F", 99.5, "1995-01-02", "5-LOW"), (1, 6, "O", 7.25, "1995-01-03", "2-HIGH"), (None, 7, "F", 1.0, None, None), (4, None, None, None, "1995-01-04", "3-MEDIUM")]
+    columns = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, _date string, o_orderpriority string"
+    made = spark.createDataFrame(orders, columns).withColumn("o_orderdate", F.col("_date").cast("timestamp")).drop("_date")
+    made.write.parquet(f"{folder}/orders.parquet")
+    items = [(1, 30, 300, "1995-02-02"), (1, 20, 400, "1995-02-01"), (None, 1, 1, "1995-02-03"), (9, 2, 2, "1995-02-04")]
+    items = spark.createDataFrame(items, "l_orderkey long, l_suppkey long, l_partkey long, _date string")
+    items.withColumn("l_shipdate", F.col("_date").cast("timestamp")).drop("_date").write.parquet(f"{folder}/lineitem.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    moved = {}
+    try:
+        for table in ("assinaturas", "transmissoes"):
+            out = RetailSource(spark, folder)(table)
+            capsys.readouterr()
+            out.explain("formatted")
+            text = capsys.readouterr().out
+            inputs = [line for at, line in zip(text.splitlines(), text.splitlines()[1:]) if ") Exchange" in at and "data_inicio" in line]
+            moved[table] = [sorted(c.split("#")[0] for c in line.split(": [", 1)[1].rstrip("]").split(", ")) for line in inputs]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert moved == {
+        "assinaturas": [["_id", "data_fim", "data_inicio", "id_viewer", "tipo", "valor_mensal"]],
+        "transmissoes": [["_id", "data_inicio", "pico_viewers"]],
+    }
+    rows = quality.as_bronze(RetailSource(spark, folder)("assinaturas")).collect()
+    assert {tuple(row) for row in rows} == {
+        ("2", "6", "21", "gratis", "1995-01-02", "1995-02-01", "0.00"),
+        ("2", "7", "21", " TIER2 ", "1995-01-03", None, "7.25"),
+        (None, "8", None, "none", None, None, "1.00"),
+        ("5", None, None, "tier1", "1995-01-04", None, None),
+    }
+    rows = quality.as_bronze(RetailSource(spark, folder)("transmissoes")).collect()
+    assert {tuple(row) for row in rows} == {
+        ("2", "21", "301", "1995-01-02 00:00:00", "1995-02-02 00:00:00", "99"),
+        ("2", "21", "301", "1995-01-03 00:00:00", "1995-02-02 00:00:00", "7"),
+        (None, None, None, None, None, "1"),
+        ("5", None, None, "1995-01-04 00:00:00", None, None),
+    }

@@ -1,5 +1,7 @@
 """What a failed, partial or incomplete run leaves behind, and what must not be lost on the way."""
 
+import glob
+import gzip
 import os
 
 import pytest
@@ -90,6 +92,36 @@ def test_files_of_other_writers_are_read_as_they_are(spark, folder):
     assert landing.read_landing_csv(spark, f"{folder}/x.csv", escapes=False).first().a == "\\n"
 
 
+def test_landing_files_are_compressed_and_divisible(spark, folder, monkeypatch):
+    """No file has more rows than a task should, and all of them are found and read like plain ones."""
+    monkeypatch.setattr(landing, "FILE_ROWS", 100)
+    df = spark.range(0, 1_000, 1, 2).select("id", F.concat(F.lit('say "a,b"\n\\'), "id").alias("nome"))
+    paths = {name: landing.write_landing(df, folder, name, DAY, compression=kind) for name, kind in (("p", "none"), ("t", "gzip"))}
+    assert landing.write_landing(df, folder, "t", DAY) == paths["t"]
+    ends = {"p": ".csv", "t": ".csv.gz"}
+    sizes = {}
+    for name, path in paths.items():
+        parts = glob.glob(f"{path}/part-*")
+        assert len(parts) == 10 and all(part.endswith(ends[name]) for part in parts)
+        sizes[name] = sum(map(os.path.getsize, parts))
+        assert {tuple(row) for row in landing.read_landing_csv(spark, path).collect()} == {
+            (str(i), f'say "a,b"\n\\{i}') for i in range(1_000)
+        }
+    assert 2 * sizes["t"] < sizes["p"]
+    found = landing.discover_landing(spark, folder, DAY).groupBy("tabela").count()
+    assert {tuple(row) for row in found.collect()} == {("p", 10), ("t", 10)}
+
+
+def test_a_single_compressed_file_of_another_writer(spark, folder):
+    path = landing.landing_path(folder, "t", DAY)
+    os.makedirs(os.path.dirname(path))
+    with gzip.open(f"{path}.csv.gz", "wt") as out:
+        out.write("a\n\\n\n")
+    assert [row.tabela for row in landing.discover_landing(spark, folder, DAY).collect()] == ["t"]
+    assert landing.landed_path(spark, folder, "t", DAY) == f"{path}.csv.gz"
+    assert landing.read_landing_csv(spark, f"{path}.csv.gz").first().a == "\\n"
+
+
 def test_line_breaks_through_all_layers(spark, folder):
     plain = source(spark)
     odd = lambda name: plain(name).withColumn("nome", F.concat("nome", F.lit('\n"x",\r\ny'))) if name == "jogos" else plain(name)
