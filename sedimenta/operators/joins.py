@@ -38,6 +38,12 @@ def fits_everywhere(side: DataFrame, rows: int | None) -> bool:
     return rows is not None and rows <= BROADCAST_ROWS and rows * width <= BROADCAST_BYTES
 
 
+def shuffled(side: DataFrame) -> DataFrame:
+    """Keeps a side that is not counted as small from being broadcast after all: Spark would by the size of its files,
+    and millions of rows of keys can take a few MB there but hundreds in the driver."""
+    return side.hint("merge")
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -64,7 +70,7 @@ def lookup_join(
         return joined.select(*left.columns, *[F.col(f"_r_{n}").alias(n) for n in values])
 
     # The few hot keys are looked up in the same shuffle of ``right`` as the rows of the main join.
-    far = right.withColumn("_rpart", F.col("_rk").cast("long"))
+    far = shuffled(right.withColumn("_rpart", F.col("_rk").cast("long")))
     hot = hot_keys(left if hot_from is None else hot_from, left_key).withColumn("_hpart", F.col("_hot").cast("long"))
     settled = hot.join(far, (F.col("_hot") == F.col("_rk")) & (F.col("_hpart") == F.col("_rpart")), "left").select(
         "_hot", *[F.col(f"_r_{n}").alias(f"_h_{n}") for n in values]
@@ -116,7 +122,7 @@ def lookup_by(
         return joined.select(*left.columns, *[F.col(f"_r_{n}").alias(n) for n in values])
 
     hot = hot_keys(keyed if hot_from is None else hashed(hot_from, "_lh"), "_lh")
-    settled = hot.join(right, F.col("_hot") == F.col("_rh"), "left").select(
+    settled = hot.join(shuffled(right), F.col("_hot") == F.col("_rh"), "left").select(
         "_hot", *[F.col(f"_k{i}").alias(f"_hk{i}") for i in range(len(names))], *[F.col(f"_r_{n}").alias(f"_h_{n}") for n in values]
     )
     # A hot hash that ``right`` lacks has one row without a key, which settles all rows with that hash; rows of another
@@ -125,7 +131,7 @@ def lookup_by(
     near = keyed.join(F.broadcast(settled), (F.col("_lh") == F.col("_hot")) & (equal | F.col("_hk0").isNull()), "left")
     near = near.withColumn("_ch", F.when(F.col("_hot").isNull(), F.col("_lh")))
     near = near.withColumn("_part", F.coalesce("_ch", F.xxhash64(*(spread_by or left.columns))))
-    far = right.withColumn("_rpart", F.col("_rh"))
+    far = shuffled(right.withColumn("_rpart", F.col("_rh")))
     joined = near.join(far, same("_ch") & (F.col("_part") == F.col("_rpart")), "left")
     return joined.select(*left.columns, *[F.coalesce(f"_h_{n}", f"_r_{n}").alias(n) for n in values])
 

@@ -294,6 +294,37 @@ def test_tasks_stay_small_as_the_data_grows(spark, folder):
     assert [spark.conf.get(name) for name in (advisory, scanned)] == before
 
 
+def test_files_are_broadcast_by_their_rows_not_by_their_size(spark, folder, capsys):
+    """Files of 10 MB can hold rows that take hundreds in the driver: what is planned by files is small, the rest is
+    broadcast once its rows are counted. A session's own settings are kept, and all are put back."""
+    names = (sizing.PLANNED_BROADCAST, sizing.COUNTED_BROADCAST, sizing.BROADCAST_WAIT)
+    before = [spark.conf.get(name, None) for name in names]
+    spark.range(600_000).select("id", (F.col("id") % 7).alias("n")).coalesce(1).write.parquet(f"{folder}/t")
+    assert sizing.PLANNED_BROADCAST_BYTES < sizing.stored_bytes(spark, f"{folder}/t") < 10 << 20
+    with sizing.kept_shuffles(spark):
+        for name in names:
+            spark.conf.unset(name)
+        sizing.size_shuffles(spark, folder)
+        assert sizing.setting_bytes(spark.conf.get(sizing.PLANNED_BROADCAST)) == 256 << 10
+        assert sizing.setting_bytes(spark.conf.get(sizing.COUNTED_BROADCAST)) == 10 << 20
+        assert spark.conf.get(sizing.BROADCAST_WAIT) == "3600"
+        members = spark.read.parquet(f"{folder}/t")
+        rows = spark.range(900_000).withColumn("more", F.col("id") + 1)
+        for kept, join in ((members, "SortMergeJoin"), (members.where("pmod(id, 1000) = 3"), "BroadcastHashJoin")):
+            joined = rows.join(kept, "id")
+            joined.explain()
+            assert "SortMergeJoin" in capsys.readouterr().out
+            joined.collect()
+            joined.explain()
+            final = capsys.readouterr().out.split("Initial Plan")[0]
+            assert join in final
+        for name, own in zip(names, ("-1", "1m", "60")):
+            spark.conf.set(name, own)
+        sizing.size_shuffles(spark, folder)
+        assert [spark.conf.get(name) for name in names] == ["-1", "1m", "60"]
+    assert [spark.conf.get(name, None) for name in names] == before
+
+
 def test_stored_layers_are_written_compressed(spark, folder):
     lake = Lake(spark, folder, source(spark))
     lake.build("dim_plataforma")

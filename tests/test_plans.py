@@ -1,10 +1,13 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from checks.queries import bronze_text, lake_of, registered
 from compare import DATA
-from sedimenta.operators import quality
+from sedimenta.operators import joins, quality
 from sedimenta.plans import star
 from sedimenta.plans.specs import WIDE_SPECS
 from sedimenta.sources.retail import RetailSource
@@ -58,6 +61,21 @@ def test_small_dimensions_are_broadcast_and_large_ones_shuffled(spark, capsys):
     assert "SortMergeJoin" in large and "approx_top_k" in large
 
 
+def test_sides_not_counted_as_small_are_not_broadcast_by_the_size_of_their_files(spark, capsys, folder):
+    """Only what hot keys found goes to every task, however small the files of the other side are."""
+    spark.range(50_000).select("id", F.col("id").alias("sk")).write.parquet(f"{folder}/right")
+    right = spark.read.parquet(f"{folder}/right")
+    left = spark.range(1_000).select("id", (F.col("id") * 3).alias("key"))
+    found = {
+        "one": joins.lookup_join(left, right, "key", "id", right_rows=10**7),
+        "any": joins.lookup_by(left, right, {"key": "id"}, right_rows=10**7),
+    }
+    for df in found.values():
+        text = plan(df, capsys)
+        assert text.count("SortMergeJoin") >= 2 and len(re.findall(r"\) BroadcastHashJoin", text.split("\n\n")[0])) <= 1
+        assert sorted(tuple(r) for r in df.collect()) == [(i, 3 * i, 3 * i) for i in range(1_000)]
+
+
 def test_top_lists_do_not_sort_everything(spark, capsys):
     assert "TakeOrderedAndProject" in plan(QUERIES["q1_top_streamers_donations"](spark, FOLDER), capsys)
 
