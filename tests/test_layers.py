@@ -325,6 +325,22 @@ def test_files_are_broadcast_by_their_rows_not_by_their_size(spark, folder, caps
     assert [spark.conf.get(name, None) for name in names] == before
 
 
+@pytest.mark.parametrize("resume", [False, True])
+def test_a_run_broadcasts_no_large_files(spark, folder, monkeypatch, resume):
+    """While the star is made, also of a run that is taken up again; the session's own threshold is back afterwards."""
+    name, seen = "spark.sql.autoBroadcastJoinThreshold", []
+    before, build = spark.conf.get(name), star.STAR["dim_jogo"]
+    monkeypatch.setitem(star.STAR, "dim_jogo", lambda t, rows: seen.append(spark.conf.get(name)) or build(t, rows))
+    asked = dict(tables=["jogos"], objects=["dim_jogo"])
+    spark.conf.set(name, "10MB")
+    try:
+        run_layers(spark, source(spark), folder, "2024-05-01", ("landing", "bronze", "silver"), record=resume, **asked)
+        run_layers(spark, source(spark), folder, "2024-05-01", ("bronze", "silver", "star"), resume=resume, **asked)
+        assert seen == [str(256 << 10)] and spark.conf.get(name) == "10MB"
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_stored_layers_are_written_compressed(spark, folder):
     lake = Lake(spark, folder, source(spark))
     lake.build("dim_plataforma")
