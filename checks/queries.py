@@ -18,7 +18,7 @@ from sedimenta.functions.calendar import calendar_columns, date_key
 from sedimenta.functions.measures import percent_change, ratio
 from sedimenta.functions.parsing import parse_as
 from sedimenta.operators import quality
-from sedimenta.operators.audit import EXTRACTION_DATE, stamp_bronze, without_audit
+from sedimenta.operators.audit import EXTRACTION_DATE, INGESTED_AT, SOURCE_FILE, stamp_bronze, without_audit
 from sedimenta.operators.dimensional import map_surrogate, or_unknown, unknown_key_counts
 from sedimenta.operators.joins import lookup_by
 from sedimenta.operators.ordering import number_rows
@@ -116,13 +116,17 @@ def bronze(spark, folder, table):
 
 
 def bronze_audit(spark, folder):
-    """Rows and distinct extraction dates per source table, as the provenance columns tell them."""
+    """Rows and distinct extraction dates per source table, as the provenance columns tell them. Rows are counted by file,
+    so that a table's name is read from the path once a file, not once a row."""
     parts = []
     for table in WIDE_SPECS:
         loaded = stamp_bronze(read_landing_csv(spark, landed(spark, folder, table)), DAY)
-        parts.append(loaded.select(table_name(F.col("_source_file")).alias("tabela"), EXTRACTION_DATE, "_ingestion_timestamp"))
-    return reduce(DataFrame.unionByName, parts).groupBy("tabela", EXTRACTION_DATE).agg(
-        F.count("*").alias("linhas"), F.count("_ingestion_timestamp").alias("carimbadas")
+        parts.append(loaded.select(SOURCE_FILE, EXTRACTION_DATE, INGESTED_AT))
+    files = reduce(DataFrame.unionByName, parts).groupBy(SOURCE_FILE, EXTRACTION_DATE).agg(
+        F.count("*").alias("linhas"), F.count(INGESTED_AT).alias("carimbadas")
+    )
+    return files.groupBy(table_name(F.col(SOURCE_FILE)).alias("tabela"), EXTRACTION_DATE).agg(
+        F.sum("linhas").alias("linhas"), F.sum("carimbadas").alias("carimbadas")
     )
 
 

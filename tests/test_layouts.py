@@ -9,7 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from checks.queries import bucketed_join, clustered_views, lake_of, registered
+from checks.queries import bronze_audit, bucketed_join, clustered_views, lake_of, registered
 from compare import DATA
 from sedimenta.operators import distinct, quality
 from sedimenta.operators.dimensional import add_surrogate_key
@@ -395,3 +395,25 @@ def test_orders_move_as_narrow_as_they_end_up(spark, folder, capsys):
         (None, None, None, None, None, "1"),
         ("5", None, None, "1995-01-04 00:00:00", None, None),
     }
+
+
+def test_audit_reads_a_table_name_once_a_file(spark, folder):
+    """Rows of the landing files are counted by file before the path is taken apart; a table without rows has no line, rows
+    that come twice count twice, and so do those without keys."""
+    for path in glob.glob(f"{FOLDER}/*.parquet"):
+        name, rows = os.path.basename(path), spark.read.parquet(path)
+        if name == "events.parquet":
+            rows = rows.where("event_type != 'click'")
+        if name == "part.parquet":
+            rows = rows.union(rows).withColumn("p_partkey", F.when(F.col("p_partkey") % 3 > 0, F.col("p_partkey")))
+        if name in ("events.parquet", "part.parquet"):
+            rows.write.parquet(f"{folder}/{name}")
+        else:
+            os.symlink(path, f"{folder}/{name}")
+    found = bronze_audit(spark, folder)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" in text and "regexp_extract" not in text.partition("Union")[2]
+    counts = {name: RetailSource(spark, folder)(name).count() for name in WIDE_SPECS}
+    assert counts.pop("raids") == 0
+    assert {tuple(row) for row in found.collect()} == {(name, DAY, n, n) for name, n in counts.items()}
+    assert counts["jogos"] == 2 * spark.read.parquet(f"{FOLDER}/part.parquet").count()
