@@ -107,17 +107,18 @@ def _with_key(fact: DataFrame, source: str, dim: str, t: Tables, rows: Rows, spr
 
 def fato_transmissoes(t: Tables, rows: Rows) -> DataFrame:
     """One row per broadcast."""
-    fact = t["transmissoes"]
-    for dim in ("dim_streamer", "dim_jogo"):
-        fact = _with_key(fact, "transmissoes", dim, t, rows, spread_by="id_transmissao")
-    return map_date(fact, "data_inicio").select(
+    broadcasts = map_date(t["transmissoes"], "data_inicio")
+    fact = broadcasts.select(
         "sk_tempo",
-        "sk_streamer",
-        "sk_jogo",
         "id_transmissao",
+        "id_streamer",
+        "id_jogo",
         "pico_viewers",
         minutes_between(F.col("data_inicio"), F.col("data_fim")).alias("duracao_minutos"),
     )
+    for dim in ("dim_streamer", "dim_jogo"):
+        fact = _with_key(fact, "transmissoes", dim, t, rows, spread_by="id_transmissao")
+    return fact.select("sk_tempo", "sk_streamer", "sk_jogo", "id_transmissao", "pico_viewers", "duracao_minutos")
 
 
 def fato_visualizacoes(t: Tables, rows: Rows) -> DataFrame:
@@ -127,7 +128,8 @@ def fato_visualizacoes(t: Tables, rows: Rows) -> DataFrame:
     instead of both dimensions.
     """
     views = t["visualizacoes"]
-    fact = _with_key(views, "visualizacoes", "dim_viewer", t, rows, spread_by="id_visualizacao")
+    fact = map_date(views, "data_hora").drop("data_hora")
+    fact = _with_key(fact, "visualizacoes", "dim_viewer", t, rows, spread_by="id_visualizacao")
     fact = lookup_join(
         fact,
         t["fato_transmissoes"].select("id_transmissao", "sk_streamer", "sk_jogo"),
@@ -137,7 +139,7 @@ def fato_visualizacoes(t: Tables, rows: Rows) -> DataFrame:
         spread_by=("id_visualizacao",),
         hot_from=views,
     )
-    return map_date(fact, "data_hora").select(
+    return fact.select(
         "sk_tempo",
         "sk_viewer",
         or_unknown(F.col("sk_streamer")).alias("sk_streamer"),
@@ -150,12 +152,10 @@ def fato_visualizacoes(t: Tables, rows: Rows) -> DataFrame:
 
 def fato_doacoes(t: Tables, rows: Rows) -> DataFrame:
     """One row per donation."""
-    fact = t["doacoes"]
+    fact = map_date(t["doacoes"], "data_hora").drop("data_hora")
     for dim in ("dim_viewer", "dim_streamer"):
         fact = _with_key(fact, "doacoes", dim, t, rows, spread_by="id_doacao")
-    return map_date(fact, "data_hora").select(
-        "sk_tempo", "sk_viewer", "sk_streamer", "id_doacao", "id_transmissao", "valor"
-    )
+    return fact.select("sk_tempo", "sk_viewer", "sk_streamer", "id_doacao", "id_transmissao", "valor")
 
 
 def fato_assinaturas(t: Tables, rows: Rows) -> DataFrame:

@@ -15,6 +15,7 @@ from sedimenta.operators import distinct, quality
 from sedimenta.operators.dimensional import add_surrogate_key
 from sedimenta.operators.joins import lookup_by
 from sedimenta.operators.ordering import number_rows
+from sedimenta.plans import star
 from sedimenta.plans.lake import Lake
 from sedimenta.plans.layers import run_layers
 from sedimenta.plans.specs import WIDE_SPECS
@@ -417,3 +418,31 @@ def test_audit_reads_a_table_name_once_a_file(spark, folder):
     assert counts.pop("raids") == 0
     assert {tuple(row) for row in found.collect()} == {(name, DAY, n, n) for name, n in counts.items()}
     assert counts["jogos"] == 2 * spark.read.parquet(f"{FOLDER}/part.parquet").count()
+
+
+def test_facts_move_days_not_moments(spark, capsys, folder):
+    """Lookups that shuffle a fact carry its day key and duration, not the moments that these are read from."""
+    moment = "cast({} as timestamp_ntz)".format
+    start, end = moment("'2024-01-02 23:59:58'"), moment("'2024-01-03 00:01:28'")
+    t = {
+        "transmissoes": spark.sql(f"SELECT 1L id_transmissao, 7L id_streamer, 9L id_jogo, {start} data_inicio, {end} data_fim, 5 pico_viewers UNION ALL SELECT 2L, NULL, 8L, {moment('NULL')}, {end}, NULL"),
+        "visualizacoes": spark.sql(f"SELECT 1L id_visualizacao, 4L id_viewer, 1L id_transmissao, 3 minutos_assistidos, {end} data_hora UNION ALL SELECT 2L, NULL, 3L, NULL, {moment('NULL')}"),
+        "doacoes": spark.sql(f"SELECT 1L id_doacao, 4L id_viewer, 7L id_streamer, 1L id_transmissao, 2.50BD valor, {end} data_hora UNION ALL SELECT 2L, 5L, NULL, NULL, NULL, {moment('NULL')}"),
+        **{f"dim_{name}": spark.sql(f"SELECT {key}L id_{name}, {key * 10}L sk_{name}") for name, key in (("streamer", 7), ("jogo", 9), ("viewer", 4))},
+    }
+    for name, rows in t.items():
+        rows.write.parquet(f"{folder}/{name}")
+        t[name] = spark.read.parquet(f"{folder}/{name}")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("fato_transmissoes", "fato_visualizacoes", "fato_doacoes"):
+            t[name] = star.STAR[name](t, {})
+            text = plan(t[name], capsys)
+            moved = [line for at, line in zip(text.splitlines(), text.splitlines()[1:]) if ") Exchange" in at]
+            assert [line for line in moved if "sk_tempo" in line] and not [line for line in moved if "data_" in line]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {tuple(row) for row in t["fato_transmissoes"].collect()} == {(20240102, 70, 90, 1, 5, 1.5), (-1, -1, -1, 2, None, None)}
+    assert {tuple(row) for row in t["fato_visualizacoes"].collect()} == {(20240103, 40, 70, 90, 1, 1, 3), (-1, -1, -1, -1, 2, 3, None)}
+    assert {tuple(row)[:5] for row in t["fato_doacoes"].collect()} == {(20240103, 40, 70, 1, 1), (-1, -1, -1, 2, None)}
